@@ -29,9 +29,12 @@ def assign_clusters(
     return points.withColumn("clusters", near).withColumn("cluster", F.get(F.col("clusters"), 0))
 
 
-def weather_training_rows(weather: DataFrame, category_col: str = "precip") -> DataFrame:
+def weather_training_rows(
+    weather: DataFrame, category_col: str = "precip", keep: Sequence[str] = ()
+) -> DataFrame:
     """Weather table to the four numeric columns the model is trained on."""
     return weather.select(
+        *keep,
         rain_level(F.col(category_col)).alias("precip"),
         *[F.col(c).cast("double").alias(c) for c in WEATHER_FEATURES[1:]],
     )

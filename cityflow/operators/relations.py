@@ -98,46 +98,49 @@ def extract_relations(sentences: DataFrame, kind: RelationKind) -> DataFrame:
             (a == kind.second) & (b == kind.first)
         )
 
-    legal = F.filter(
-        "entities", lambda e: canonical_type(e["type"]).isin(kind.first, kind.second)
-    )
-
-    def value_of(entity: Column) -> Column:
-        return F.get(F.filter("tokens", lambda t: t["id"] == entity["end"]), 0)["word"]
-
-    def resolved(arg: Column) -> Column:
-        entity = F.get(F.filter(legal, lambda e: e["id"] == arg["id"]), 0)
-        return F.when(
-            entity.isNotNull(),
-            F.struct(
-                entity["id"].alias("id"),
-                canonical_type(entity["type"]).alias("type"),
-                value_of(entity).alias("value"),
-            ),
-        )
-
     wanted = F.filter(
         "relations",
         lambda r: (r["type"] == kind.name) & (F.size(r["args"]) >= 2) & two_types(r),
     )
+    legal = F.filter(
+        "entities", lambda e: canonical_type(e["type"]).isin(kind.first, kind.second)
+    )
     rows = sentences.select(
-        "url", "page_order", "sent_id", "tokens", "entities", F.posexplode(wanted).alias("seq", "r")
+        "url", "page_order", "sent_id", "tokens", legal.alias("legal"),
+        F.posexplode(wanted).alias("seq", "r"),
     )
-    first, second = F.col("r.args")[0], F.col("r.args")[1]
-    swap = canonical_type(first["type"]) == kind.second
-    named = F.filter("r.probs", lambda p: p["label"] == kind.name)
-    return (
-        rows.select(
-            "url",
-            "page_order",
-            "sent_id",
-            F.col("seq").cast("long").alias("seq"),
-            F.lit(kind.name).alias("rel_type"),
-            F.when(swap, resolved(second)).otherwise(resolved(first)).alias("e1"),
-            F.when(swap, resolved(first)).otherwise(resolved(second)).alias("e2"),
-            F.get(named, 0)["value"].alias("confidence"),
+
+    # Each list is searched once per argument: one projection finds the entities,
+    # the next their words.
+    def entity(arg: int) -> Column:
+        return F.get(F.filter("legal", lambda e: e["id"] == F.col("r.args")[arg]["id"]), 0)
+
+    def argument(name: str) -> Column:
+        found = F.col(name)
+        word = F.get(F.filter("tokens", lambda t: t["id"] == found["end"]), 0)["word"]
+        return F.struct(
+            found["id"].alias("id"), canonical_type(found["type"]).alias("type"), word.alias("value")
         )
-        .filter(F.col("e1").isNotNull() & F.col("e2").isNotNull())
+
+    named = F.filter("r.probs", lambda p: p["label"] == kind.name)
+    swap = canonical_type(F.col("r.args")[0]["type"]) == kind.second
+    located = rows.select(
+        "url", "page_order", "sent_id", "seq", "tokens", swap.alias("swap"),
+        entity(0).alias("a"), entity(1).alias("b"), F.get(named, 0)["value"].alias("confidence"),
+    ).filter(F.col("a").isNotNull() & F.col("b").isNotNull())
+    worded = located.select(
+        "url", "page_order", "sent_id", "seq", "swap", "confidence",
+        argument("a").alias("a"), argument("b").alias("b"),
+    )
+    return worded.select(
+        "url",
+        "page_order",
+        "sent_id",
+        F.col("seq").cast("long").alias("seq"),
+        F.lit(kind.name).alias("rel_type"),
+        F.when(F.col("swap"), F.col("b")).otherwise(F.col("a")).alias("e1"),
+        F.when(F.col("swap"), F.col("a")).otherwise(F.col("b")).alias("e2"),
+        "confidence",
     )
 
 

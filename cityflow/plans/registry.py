@@ -22,7 +22,14 @@ from cityflow.operators import (
     tweets,
 )
 from cityflow.operators.windows import tumbling_counts
-from cityflow.options import FEATURES, Hop, MedoidModel, NormalizerBounds, TWEET_TUMBLE
+from cityflow.options import (
+    FEATURES,
+    TWEET_TUMBLE,
+    WEATHER_FEATURES,
+    Hop,
+    MedoidModel,
+    NormalizerBounds,
+)
 from cityflow.plans import dataflows, feeds, set_expansion
 from cityflow.session import pin_utc, run_dir
 from cityflow.sources import archives, images, messages, payloads, sinks
@@ -86,14 +93,23 @@ FROM events WHERE event_type IN ('view', 'purchase', 'click')"""
 MEANS = """nullif(count(tweets), 0)::DOUBLE AS tweets, avg(precip) AS precip, avg(temp) AS temp,
   avg(uv) AS uv, avg(wind) AS wind, avg(traffic) AS traffic"""
 VALID = "tweets IS NOT NULL AND uv IS NOT NULL AND traffic IS NOT NULL"
-ROUNDED = ", ".join(f"round({f}, 6) AS {f}" for f in FEATURES)
+# Digits to which each mean is compared. Engines add in different orders, so the
+# last bits differ; the digits reach far enough past those of the inputs that a
+# mean does not fall halfway between two rounded values.
+DIGITS = {"tweets": 9, "precip": 9, "temp": 9, "uv": 9, "wind": 10, "traffic": 11}
+# Adding zero turns a negative zero positive.
+ROUNDED = ", ".join(f"round({f}, {n}) + 0.0::DOUBLE AS {f}" for f, n in DIGITS.items())
+NORM_ROUNDED = ", ".join(f"round({f}, 9) + 0.0::DOUBLE AS {f}" for f in FEATURES)
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    """Floats are compared to six digits: engines add in different orders."""
     return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
 
+def rounded_means(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.round(F.col(c), n) for c, n in DIGITS.items()})
+
+
 def window_start_ntz(df: DataFrame) -> DataFrame:
     return df.withColumn("window_start", F.col("window.start").cast("timestamp_ntz")).drop("window")
 
@@ -231,8 +247,9 @@ def channel_mean_or_nan(spark, sf_dir):
 
 BUCKETS = f"""WITH rec AS ({RECORDS}),
 training AS (SELECT left(strftime(ts, '%Y-%m-%d-%H-%M'), 15) AS bucket,
-  nullif(count(tweets), 0) AS tweets, round(avg(precip), 6) AS precip, round(avg(temp), 6) AS temp,
-  round(avg(uv), 6) AS uv, round(avg(wind), 6) AS wind, round(avg(traffic), 6) AS traffic
+  nullif(count(tweets), 0)::DOUBLE AS tweets, round(avg(precip), 6) AS precip,
+  round(avg(temp), 6) AS temp, round(avg(uv), 6) AS uv, round(avg(wind), 6) AS wind,
+  round(avg(traffic), 11) AS traffic
   FROM rec GROUP BY ALL)
 """
 
@@ -246,14 +263,19 @@ def _archives(spark, sf_dir):
     )
 
 
+def _training_rows(rows: DataFrame) -> DataFrame:
+    counted = rows.withColumn("tweets", F.col("tweets").cast("double"))
+    return rounded(counted, "traffic", digits=11)
+
+
 @query(f"{BUCKETS} SELECT * FROM training")
 def training_set(spark, sf_dir):
-    return rounded(training.training_set(*_archives(spark, sf_dir)), "traffic")
+    return _training_rows(training.training_set(*_archives(spark, sf_dir)))
 
 
 @query(f"{BUCKETS} SELECT * FROM training")
 def training_set_join(spark, sf_dir):
-    return rounded(training.training_set_joined(*_archives(spark, sf_dir)), "traffic")
+    return _training_rows(training.training_set_joined(*_archives(spark, sf_dir)))
 
 
 @query(f"""{BUCKETS} SELECT * FROM training WHERE tweets IS NOT NULL AND uv IS NOT NULL
@@ -266,8 +288,7 @@ def training_complete(spark, sf_dir):
     f"{fn}({f})::DOUBLE AS {fn}_{f}" for f in FEATURES for fn in ("min", "max")
 ) + " FROM training WHERE tweets IS NOT NULL AND uv IS NOT NULL AND traffic IS NOT NULL")
 def normalizer_bounds(spark, sf_dir):
-    bounds = normalize.fit_bounds(training_set(spark, sf_dir))
-    return bounds.select(*[F.col(c).cast("double").alias(c) for c in bounds.columns])
+    return normalize.fit_bounds(training_set(spark, sf_dir))
 
 
 @query("""SELECT left(strftime(ts, '%Y-%m-%d-%H-%M'), 15) AS bucket, count(*) AS tweets
@@ -342,14 +363,14 @@ def _message_records(spark, sf_dir):
 @query(POINT_ROWS)
 def feature_points(spark, sf_dir):
     points = features.feature_points(_message_records(spark, sf_dir), POINT_HOP)
-    return window_start_ntz(rounded(points, *FEATURES))
+    return window_start_ntz(rounded_means(points))
 
 
 @query(POINT_ROWS)
 def feature_points_long(spark, sf_dir):
     long = features.to_long(_message_records(spark, sf_dir))
     points = features.feature_points_long(long, POINT_HOP)
-    return window_start_ntz(rounded(points, *FEATURES))
+    return window_start_ntz(rounded_means(points))
 
 
 @query(f"""WITH rec AS ({RECORDS}) SELECT * FROM (
@@ -362,10 +383,11 @@ def feature_records(spark, sf_dir):
     return long.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-@query(f"{NORMALISED} SELECT make_timestamp(s) AS window_start, {ROUNDED} FROM norm")
+@query(f"{NORMALISED} SELECT make_timestamp(s) AS window_start, {NORM_ROUNDED} FROM norm")
 def normalized_points(spark, sf_dir):
     points = features.feature_points(_message_records(spark, sf_dir), POINT_HOP)
-    return window_start_ntz(rounded(normalize.normalise_points(points, POINT_BOUNDS), *FEATURES))
+    normalised = normalize.normalise_points(points, POINT_BOUNDS)
+    return window_start_ntz(rounded(normalised, *FEATURES, digits=9))
 
 
 _CENTERS = ", ".join(
@@ -402,7 +424,7 @@ def rewindow_features(spark, sf_dir):
     points = features.rewindowed_points(
         _message_records(spark, sf_dir), REWINDOW_HOP, REWINDOW_TUMBLE
     )
-    return window_start_ntz(rounded(points, *FEATURES))
+    return window_start_ntz(rounded_means(points))
 
 
 # --------------------------------------------------------------------------- tweets, payloads, time
@@ -429,7 +451,7 @@ def dedup_messages(spark, sf_dir):
     )
 
 
-@query("""SELECT make_timestamp(epoch_ms(ts) * 1000) AS ts, user_id::VARCHAR AS author, props AS text,
+@query("""SELECT make_timestamp(epoch_us(ts) // 1000 * 1000) AS ts, user_id::VARCHAR AS author, props AS text,
   3 AS n_attributes FROM events WHERE event_type = 'view'""")
 def tweet_flatten(spark, sf_dir):
     flat = dataflows.tweet_stream(feeds.tweet_messages(feeds.events(spark, sf_dir)))
@@ -480,11 +502,11 @@ def geo_place(spark, sf_dir):
 
 
 @query("""SELECT event_id FROM (SELECT event_id, -74.0 + (user_id % 100) * 0.001::DOUBLE AS lon,
-  40.8 + (user_id % 50) * 0.001::DOUBLE AS lat FROM events)
+  40.8 + (event_id % 50) * 0.001::DOUBLE AS lat FROM events)
 WHERE lon BETWEEN -73.964927 AND -73.952234 AND lat BETWEEN 40.807030 AND 40.818940""")
 def geo_box(spark, sf_dir):
     lon = F.lit(-74.0) + (F.col("user_id") % 100) * 0.001
-    lat = F.lit(40.8) + (F.col("user_id") % 50) * 0.001
+    lat = F.lit(40.8) + (F.col("event_id") % 50) * 0.001
     return feeds.events(spark, sf_dir).filter(tweets.in_box(lon, lat)).select("event_id")
 
 
@@ -535,7 +557,7 @@ def local_time_zone(spark, sf_dir):
 
 
 @query("""SELECT event_id, make_timestamp(epoch_us(ts)) AS rfc3339,
-  make_timestamp(epoch_ms(ts) * 1000) AS epoch_ms, date_trunc('second', ts) AS epoch_s,
+  make_timestamp(epoch_us(ts) // 1000 * 1000) AS epoch_ms, date_trunc('second', ts) AS epoch_s,
   date_trunc('minute', ts) AS minute, date_trunc('second', ts) AS second,
   date_trunc('second', ts) AS stamp FROM events""")
 def timestamp_encodings(spark, sf_dir):
@@ -666,16 +688,11 @@ def weather_csv_scale(spark, sf_dir):
     """The weather table written as CSV with a header, scanned back, mapped and scaled."""
     out = run_dir(spark, "weather")
     feeds.weather_table(feeds.events(spark, sf_dir)).write.option("header", True).csv(out)
-    table = archives.read_weather_table(spark, out)
-    numbers = cluster.weather_training_rows(
-        table.withColumn("_at", F.col("localdatetime")), category_col="precip"
+    rows = cluster.weather_training_rows(
+        archives.read_weather_table(spark, out), keep=("localdatetime",)
     )
-    keyed = table.select("localdatetime", *[
-        F.col(c) if c != "precip" else cluster.rain_level(F.col(c)).alias(c)
-        for c in numbers.columns
-    ])
-    scaled = normalize.max_scale(keyed, numbers.columns)
-    return rounded(scaled, *numbers.columns)
+    scaled = normalize.max_scale(rows, WEATHER_FEATURES)
+    return rounded(scaled, *WEATHER_FEATURES)
 
 
 @query()
@@ -1015,7 +1032,7 @@ def city_state_stream(spark, sf_dir):
   precip, (temp - 44.035) / (76.665 - 44.035) AS temp, uv / 8.0 AS uv,
   (wind - 0.23) / (19.605 - 0.23) AS wind,
   (traffic - 0.0362919) / (0.2750302 - 0.0362919) AS traffic FROM valid)
-SELECT make_timestamp(s) AS window_start, {ROUNDED} FROM norm
+SELECT make_timestamp(s) AS window_start, {NORM_ROUNDED} FROM norm
 WHERE s + {3600 * US} <= {LAST_FEED}""")
 def rewindow_stream(spark, sf_dir):
     state = dataflows.city_state_rewindowed(
@@ -1023,7 +1040,7 @@ def rewindow_stream(spark, sf_dir):
         NormalizerBounds(window_minutes=45.0),
     )
     points = drain(state.drop("clusters", "cluster"), "rewindow")
-    return window_start_ntz(rounded(points, *FEATURES))
+    return window_start_ntz(rounded(points, *FEATURES, digits=9))
 
 
 @query(f"""SELECT make_timestamp(s) AS window_start, count(*) AS n FROM (
