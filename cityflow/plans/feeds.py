@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from cityflow.functions.time import MINUTE_STAMP, SECOND_STAMP, STAMP
 from cityflow.functions.weather import RAIN_LEVELS
-from cityflow.operators.relations import sentence_text
 
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 CATEGORIES = tuple(RAIN_LEVELS)
@@ -250,6 +249,12 @@ def sentence_id() -> Column:
     )
 
 
+def line_address() -> Column:
+    return F.concat_ws(
+        "/", F.lit("line"), F.col("l_orderkey").cast("string"), sentence_id().cast("string")
+    )
+
+
 def annotated_sentences(lines: DataFrame, page: str = "order") -> DataFrame:
     """One sentence per order line: a supplier (organization) makes a part (location).
 
@@ -257,9 +262,8 @@ def annotated_sentences(lines: DataFrame, page: str = "order") -> DataFrame:
     states a relation of another kind, N is plain. A page is an order, or a
     single line.
     """
-    url = [F.lit("order"), F.col("l_orderkey").cast("string")]
-    if page == "line":
-        url = [F.lit("line"), F.col("l_orderkey").cast("string"), sentence_id().cast("string")]
+    order = F.concat_ws("/", F.lit("order"), F.col("l_orderkey").cast("string"))
+    url = line_address() if page == "line" else order
     org = F.concat(F.lit("Supplier"), F.col("l_suppkey").cast("string"))
     loc = F.concat(F.lit("Part"), F.col("l_partkey").cast("string"))
     first_id = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
@@ -289,7 +293,7 @@ def annotated_sentences(lines: DataFrame, page: str = "order") -> DataFrame:
         ).alias("probs"),
     )
     return lines.select(
-        F.concat_ws("/", *url).alias("url"),
+        url.alias("url"),
         F.col("l_orderkey").alias("page_order"),
         sentence_id().alias("sent_id"),
         F.array(
@@ -304,9 +308,13 @@ def annotated_sentences(lines: DataFrame, page: str = "order") -> DataFrame:
 
 def line_pages(lines: DataFrame) -> DataFrame:
     """One page per order line: what `search_pages` looks through."""
-    return annotated_sentences(lines, page="line").select(
-        "url", sentence_text("tokens").alias("text")
+    words = F.concat_ws(
+        " ",
+        F.concat(F.lit("Supplier"), F.col("l_suppkey").cast("string")),
+        F.lit("makes"),
+        F.concat(F.lit("Part"), F.col("l_partkey").cast("string")),
     )
+    return lines.select(line_address().alias("url"), words.alias("text"))
 
 
 IMAGE_SIDE = 8

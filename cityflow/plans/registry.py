@@ -978,7 +978,7 @@ x AS (SELECT vec_id, i, embedding[i + 1]::DOUBLE * w AS x FROM embeddings, taper
 f AS (SELECT vec_id, k, sum(x * cos(2 * pi() * k * i / 64)) AS re,
   sum(x * sin(2 * pi() * k * i / 64)) AS im FROM x, range(64) b(k) GROUP BY ALL)
 SELECT vec_id, ((k + 32) % 64)::INTEGER AS bin,
-  round(10 * log10(greatest(re * re + im * im, 1e-18)), 4) AS power FROM f""")
+  round(10 * log10(greatest(re * re + im * im, 1e-18)), 4) + 0.0::DOUBLE AS power FROM f""")
 def spectral_power(spark, sf_dir):
     frames = feeds.table(spark, sf_dir, "embeddings").select(
         "vec_id", F.col("embedding").cast("array<double>").alias("re")

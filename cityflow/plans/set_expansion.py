@@ -11,7 +11,9 @@ and a lost executor costs one round's work at most.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 from itertools import chain
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,12 +35,15 @@ class Expansion:
 
 
 def search_pages(pages: DataFrame, query: str, hits: int = 10) -> DataFrame:
-    """The ``hits`` pages holding most words of the query; equals in address order."""
-    words = sorted({w for w in query.lower().split() if w})
-    found = F.array_intersect(
-        F.array(*map(F.lit, words)), F.split(F.lower("text"), WORD_BREAK)
-    )
-    scored = pages.select("url", F.size(found).alias("matched"))
+    """The ``hits`` pages holding most words of the query; equals in address order.
+
+    A plain substring test comes first: only pages passing it are split into words.
+    """
+    words = sorted(set(query.lower().split()))
+    text = F.lower("text")
+    maybe = reduce(or_, [text.contains(w) for w in words])
+    found = F.array_intersect(F.array(*map(F.lit, words)), F.split(text, WORD_BREAK))
+    scored = pages.filter(maybe).select("url", F.size(found).alias("matched"))
     return scored.filter("matched > 0").orderBy(F.desc("matched"), "url").limit(hits)
 
 
