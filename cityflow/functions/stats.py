@@ -1,9 +1,11 @@
-"""Averages as aggregate expressions."""
+"""Averages, and user-defined aggregates that combine before they shuffle."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping, Sequence
+
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -12,15 +14,48 @@ def mean_or_nan(value: Column) -> Column:
     return F.coalesce(F.avg(value), F.lit(float("nan")))
 
 
-def mean_udaf():
-    """The same average as a grouped-aggregate UDF: the pattern for custom combiners.
+def combine_per_key(
+    df: DataFrame,
+    keys: Sequence[str],
+    accumulate: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str,
+    merge: Mapping[str, Column],
+    extract: Mapping[str, Column],
+) -> DataFrame:
+    """A custom combiner in three steps, none of which sees a whole group at once.
 
-    Prefer `mean_or_nan`: a Python aggregate sees whole groups and cannot
-    combine before the shuffle.
+    ``accumulate`` turns one Arrow batch into partial rows (``keys`` plus the
+    accumulator columns of ``schema``), ``merge`` names the built-in aggregates
+    that fold accumulators, and ``extract`` computes the outputs from them.
     """
 
-    @F.pandas_udf("double")
-    def mean(values: pd.Series) -> float:
-        return float(values.mean()) if len(values) else float("nan")
+    def partials(batches):
+        for batch in batches:
+            yield accumulate(batch)
+
+    folded = df.mapInPandas(partials, schema).groupBy(*keys).agg(
+        *[expr.alias(name) for name, expr in merge.items()]
+    )
+    return folded.select(*keys, *[expr.alias(name) for name, expr in extract.items()])
+
 
-    return mean
+def mean_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
+    """`mean_or_nan` per key, written as a custom combiner: the pattern to copy.
+
+    For a plain mean prefer `mean_or_nan`, which never leaves the JVM.
+    """
+    key_type = dict(df.dtypes)[key]
+
+    def sums(batch: pd.DataFrame) -> pd.DataFrame:
+        grouped = batch.groupby(key, dropna=False)[value]
+        return grouped.agg(total="sum", n="count").reset_index()[[key, "total", "n"]]
+
+    total, n = F.sum("total"), F.sum("n")
+    return combine_per_key(
+        df.select(key, F.col(value).cast("double").alias(value)),
+        [key],
+        sums,
+        f"{key} {key_type}, total DOUBLE, n LONG",
+        {"total": total, "n": n},
+        {"mean": F.when(F.col("n") > 0, F.col("total") / F.col("n")).otherwise(float("nan"))},
+    )

@@ -83,6 +83,8 @@ def fit_medoids(
     sampling. Only ``k`` centres ever reach the driver.
     """
     rows = points.select(*columns).dropna()
+    if rows.isEmpty():
+        return []
     seeds = KMeans(k=k, seed=seed, maxIter=5).fit(_assembled(rows, columns)).clusterCenters()
     medoids = _nearest_members(rows, [tuple(map(float, c)) for c in seeds], columns)
     for _ in range(max_iter):

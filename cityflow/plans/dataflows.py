@@ -7,6 +7,7 @@ stay with `cityflow.sources` and `cityflow.streaming`.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cityflow.operators import cluster, features, imaging, normalize, radio, training, tweets
 from cityflow.options import (
@@ -120,15 +121,15 @@ def score_image_folder(
 ) -> DataFrame:
     """Images of a folder, optionally a slice in name order, to ``localdatetime, predict``.
 
-    The slice is taken on the file listing; only listed images are decoded.
+    The slice is taken on the file listing, whose order is that of the file names.
     """
-    from pyspark.sql import functions as F
-
     frames = images.read_images(spark, path)
     if first is not None and last is not None:
-        listing = images.read_manifest(spark, path, "*").select("path")
-        chosen = imaging.sorted_slice(listing, ["path"], first, last)
-        frames = frames.withColumn("path", F.col("image.origin")).join(chosen, "path", "left_semi")
+        listing = images.read_manifest(spark, path, "*")
+        names = listing.select(images.file_name(F.col("path")).alias("name"))
+        chosen = imaging.sorted_slice(names, ["name"], first, last)
+        named = frames.withColumn("name", images.file_name(F.col("image.origin")))
+        frames = named.join(chosen, "name", "left_semi")
     scored = imaging.score_images(frames, load_model, **options)
     return scored.select(
         images.image_stamp(images.file_name(F.col("origin"))).alias("localdatetime"), "predict"

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityflow.functions.time import MINUTE_STAMP, SECOND_STAMP, STAMP
-from cityflow.functions.weather import RAIN_LEVELS
+from cityflow.functions.weather import RAIN_LEVELS, rain_level
 
 RFC3339 = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 CATEGORIES = tuple(RAIN_LEVELS)
@@ -113,6 +113,23 @@ def weather_messages(ev: DataFrame) -> DataFrame:
     )
 
 
+def wide_records(ev: DataFrame) -> DataFrame:
+    """The three feeds as wide records, filled by event type in a single scan."""
+
+    def when(event_type: str, value: Column) -> Column:
+        return F.when(F.col("event_type") == event_type, value)
+
+    return ev.filter(F.col("event_type").isin("view", "purchase", "click")).select(
+        "ts",
+        when("view", F.lit(1)).alias("tweets"),
+        when("purchase", rain_level(category())).alias("precip"),
+        when("purchase", F.col("value")).alias("temp"),
+        when("purchase", (F.col("user_id") % 9).cast("double")).alias("uv"),
+        when("purchase", F.col("value") / 10).alias("wind"),
+        when("click", F.col("value") / 1000).alias("traffic"),
+    )
+
+
 def tweet_lines(ev: DataFrame) -> DataFrame:
     """Archive lines with a header-like line per thousand tweets to be skipped."""
     stamp = F.date_format("ts", SECOND_STAMP)
@@ -339,3 +356,8 @@ def tiny_images(vectors: DataFrame) -> DataFrame:
         "vec_id",
         "label",
     )
+
+
+def mean_brightness():
+    """A stand-in model: the mean of the input tensor."""
+    return lambda batch: batch.mean(axis=(1, 2, 3), dtype="float64")

@@ -31,7 +31,7 @@ from cityflow.options import (
     NormalizerBounds,
 )
 from cityflow.plans import dataflows, feeds, set_expansion
-from cityflow.session import pin_utc, run_dir
+from cityflow.session import prepare, run_dir
 from cityflow.sources import archives, images, messages, payloads, sinks
 from cityflow.sources.annotations import read_sentences
 from cityflow.streaming.writers import drain
@@ -46,7 +46,7 @@ def query(sql: str | None = None):
 
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(pin_utc(spark), sf_dir.rstrip("/"))
+            return fn(prepare(spark), sf_dir.rstrip("/"))
 
         QUERIES[fn.__name__] = run
         if sql is not None:
@@ -360,9 +360,14 @@ def _message_records(spark, sf_dir):
     )
 
 
+def _records(spark, sf_dir):
+    """All three feeds in one scan, where one table holds them."""
+    return feeds.wide_records(feeds.events(spark, sf_dir))
+
+
 @query(POINT_ROWS)
 def feature_points(spark, sf_dir):
-    points = features.feature_points(_message_records(spark, sf_dir), POINT_HOP)
+    points = features.feature_points(_records(spark, sf_dir), POINT_HOP)
     return window_start_ntz(rounded_means(points))
 
 
@@ -385,7 +390,7 @@ def feature_records(spark, sf_dir):
 
 @query(f"{NORMALISED} SELECT make_timestamp(s) AS window_start, {NORM_ROUNDED} FROM norm")
 def normalized_points(spark, sf_dir):
-    points = features.feature_points(_message_records(spark, sf_dir), POINT_HOP)
+    points = features.feature_points(_records(spark, sf_dir), POINT_HOP)
     normalised = normalize.normalise_points(points, POINT_BOUNDS)
     return window_start_ntz(rounded(normalised, *FEATURES, digits=9))
 
@@ -421,9 +426,7 @@ valid AS (SELECT * FROM points WHERE {VALID})"""
 
 @query(f"{REWINDOWED} SELECT make_timestamp(s) AS window_start, {ROUNDED} FROM valid")
 def rewindow_features(spark, sf_dir):
-    points = features.rewindowed_points(
-        _message_records(spark, sf_dir), REWINDOW_HOP, REWINDOW_TUMBLE
-    )
+    points = features.rewindowed_points(_records(spark, sf_dir), REWINDOW_HOP, REWINDOW_TUMBLE)
     return window_start_ntz(rounded_means(points))
 
 
@@ -947,11 +950,6 @@ def image_metadata(spark, sf_dir):
     return images.image_metadata(_as_image(tiny))
 
 
-def mean_brightness():
-    """A stand-in model: the mean of the input tensor."""
-    return lambda batch: batch.mean(axis=(1, 2, 3), dtype="float64")
-
-
 _PIXELS = ", ".join(f"p[{(1 + r) * 8 + 1 + c + 1}]" for r in (0, 2, 4) for c in (0, 2, 4))
 
 
@@ -962,7 +960,7 @@ SELECT '689-' || vec_id AS origin, round(list_sum([{_PIXELS}]) / 9 / 255, 4) AS
 def image_scores(spark, sf_dir):
     tiny = feeds.tiny_images(feeds.table(spark, sf_dir, "embeddings"))
     scored = imaging.score_images(
-        _as_image(tiny), mean_brightness, crop=(1, 1, 6, 6), size=(3, 3)
+        _as_image(tiny), feeds.mean_brightness, crop=(1, 1, 6, 6), size=(3, 3)
     )
     return rounded(scored, "predict", digits=4)
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -35,7 +37,25 @@ def get_session(app_name: str = "cityflow", master: str | None = None, **conf: s
         builder = builder.master(master)
     for key, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    return prepare(builder.getOrCreate())
+
+
+_shipped: set[str] = set()
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Pin UTC and make the package importable in the session's Python workers.
+
+    Executors need not have it installed: it travels as a zip, once per application.
+    """
+    pin_utc(spark)
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        base = Path(tempfile.mkdtemp(prefix="cityflow-package-")) / "cityflow"
+        context.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
+        _shipped.add(context.applicationId)
+    return spark
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
