@@ -1,4 +1,4 @@
-"""The five timestamp encodings, local time, bucket keys and window bounds."""
+"""Timestamp encodings, local time, bucket keys, repetition and window bounds."""
 
 from __future__ import annotations
 
@@ -17,7 +17,8 @@ def event_time(text: Column, encoding: str) -> Column:
 
     ``encoding`` is ``rfc3339``, ``epoch_ms``, ``epoch_s``, or one of the
     dashed forms ``minute`` (``yyyy-MM-dd-HH-mm``) and ``second``, or ``stamp``
-    (``yyyy-MM-dd HH:mm:ss``).
+    (``yyyy-MM-dd HH:mm:ss``), or ``http`` (a Date header, with or without its
+    name and weekday).
     """
     if encoding == "rfc3339":
         return text.try_cast("timestamp")
@@ -25,6 +26,9 @@ def event_time(text: Column, encoding: str) -> Column:
         return F.timestamp_millis(text.try_cast("long"))
     if encoding == "epoch_s":
         return F.timestamp_seconds(text.try_cast("double"))
+    if encoding == "http":
+        bare = F.regexp_replace(text, r"^(Date: )?([A-Za-z]{3}, )?", "")
+        return F.try_to_timestamp(bare, F.lit("dd MMM yyyy HH:mm:ss z"))
     patterns = {"minute": MINUTE_STAMP, "second": SECOND_STAMP, "stamp": STAMP}
     if encoding not in patterns:
         raise ValueError(f"unknown timestamp encoding: {encoding}")
@@ -45,6 +49,13 @@ def bucket_key(ts: Column) -> Column:
     return F.substring(F.date_format(ts, MINUTE_STAMP), 1, 15)
 
 
+def repeats(ts: str, every: int = 10, span: int = 600) -> Column:
+    """A reading's times when it is repeated every ``every`` seconds for ``span`` seconds."""
+    return F.expr(
+        f"sequence({ts}, {ts} + INTERVAL {span - every} SECONDS, INTERVAL {every} SECONDS)"
+    )
+
+
 def window_start(window: str = "window") -> Column:
     return F.date_format(F.col(f"{window}.start"), STAMP)
 

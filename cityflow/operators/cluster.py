@@ -13,6 +13,7 @@ from cityflow.functions.vectors import distances, positions_of_min, squared_dist
 from cityflow.functions.weather import rain_level
 from cityflow.operators.normalize import max_scale
 from cityflow.options import FEATURES, WEATHER_FEATURES, MedoidModel
+from cityflow.session import settle
 
 
 def assign_clusters(
@@ -51,9 +52,10 @@ def fit_weather_clusters(
 ):
     """k-means on max-scaled columns: ``(model, scaled rows with a prediction, centres)``.
 
-    The centres are brought back to the original scale and rounded to one
+    The centres are brought back to the original scale and rounded (halves to even) to one
     decimal; the frame has ``k`` rows.
     """
+    rows = settle(rows, "cluster-rows")
     scaled = _assembled(max_scale(rows, columns), columns)
     model = KMeans(k=k, seed=seed, featuresCol="features").fit(scaled)
     spark = rows.sparkSession
@@ -63,7 +65,7 @@ def fit_weather_clusters(
     )
     tops = rows.agg(F.struct(*[F.max(c).cast("double").alias(c) for c in columns])).scalar()
     denormalised = centers.select(
-        "cluster", *[F.round(F.col(c) * tops[c], 1).alias(c) for c in columns]
+        "cluster", *[F.bround(F.col(c) * tops[c], 1).alias(c) for c in columns]
     )
     return model, model.transform(scaled), denormalised
 
@@ -82,7 +84,7 @@ def fit_medoids(
     member nearest to the mean: two aggregations per round, no pairs and no
     sampling. Only ``k`` centres ever reach the driver.
     """
-    rows = points.select(*columns).dropna()
+    rows = settle(points.select(*columns).dropna(), "points")
     if rows.isEmpty():
         return []
     seeds = KMeans(k=k, seed=seed, maxIter=5).fit(_assembled(rows, columns)).clusterCenters()

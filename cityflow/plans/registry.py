@@ -305,10 +305,12 @@ def archive_text_scan(spark, sf_dir):
   (user_id % 12)::INTEGER AS vehicles, (event_id % 5)::INTEGER AS people,
   ((user_id % 12) + (event_id % 5)) / 16.0::DOUBLE AS label,
   CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%a, ') ELSE '' END
-    || strftime(ts, '%d %b %Y %H:%M:%S GMT') AS http_date FROM events""")
+    || strftime(ts, '%d %b %Y %H:%M:%S GMT') AS http_date,
+  date_trunc('second', ts) AS taken FROM events""")
 def camera_labels(spark, sf_dir):
     parsed = archives.parse_label_lines(feeds.label_lines(feeds.events(spark, sf_dir)))
-    return parsed.withColumn("label", imaging.label_value())
+    taken = time.event_time(F.col("http_date"), "http").cast("timestamp_ntz")
+    return parsed.withColumns({"label": imaging.label_value(), "taken": taken})
 
 
 @query("""SELECT round(avg(abs(p - y)), 6) AS mae, round(avg((p - y) * (p - y)), 6) AS mse
@@ -534,14 +536,7 @@ def weather_payload(spark, sf_dir):
 FROM events WHERE event_type = 'signup'""")
 def upsample(spark, sf_dir):
     signups = feeds.of_type(feeds.events(spark, sf_dir), "signup")
-    return signups.select("event_id", F.explode(time_steps("ts")).alias("ts"))
-
-
-def time_steps(ts: str, every: int = 10, span: int = 600):
-    """A reading repeated every ``every`` seconds for ``span`` seconds."""
-    return F.expr(
-        f"sequence({ts}, {ts} + INTERVAL {span - every} SECONDS, INTERVAL {every} SECONDS)"
-    )
+    return signups.select("event_id", F.explode(time.repeats("ts")).alias("ts"))
 
 
 @query("""SELECT event_id, strftime(ts - INTERVAL 4 HOUR, '%Y-%m-%d-%H-%M-%S') AS local FROM events""")
@@ -840,9 +835,14 @@ def distinct_urls(spark, sf_dir):
 
 @query(f"{RELATIONS} SELECT value1, value2, confidence, sent_id FROM rel")
 def sentences_xml_scan(spark, sf_dir):
-    """Annotated sentences written as XML and scanned back."""
+    """Annotated sentences written as XML and scanned back.
+
+    One task parses a whole XML file, so files are kept small.
+    """
     out = run_dir(spark, "sentences")
-    _to_xml_rows(_sentences(spark, sf_dir)).write.format("xml").option("rowTag", "sentence").save(out)
+    _to_xml_rows(_sentences(spark, sf_dir)).write.format("xml").option("rowTag", "sentence").option(
+        "maxRecordsPerFile", 20_000
+    ).save(out)
     kind = relations.KINDS["OrgBased_In"]
     found = relations.extract_relations(read_sentences(spark, out), kind)
     return _flat(found).select("value1", "value2", "confidence", "sent_id")

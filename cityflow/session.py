@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # What the library relies on: UTC for every timestamp, adaptive execution with
 # skew-join splitting, and Arrow batches bounded in bytes as well as in rows.
@@ -30,12 +30,17 @@ STREAMING_CONF = {
 }
 
 
-def get_session(app_name: str = "cityflow", master: str | None = None, **conf: str) -> SparkSession:
-    """Build (or fetch) a session carrying :data:`SESSION_CONF` plus ``conf``."""
+def get_session(
+    app_name: str = "cityflow", master: str | None = None, streaming: bool = False, **conf: str
+) -> SparkSession:
+    """Build (or fetch) a session carrying :data:`SESSION_CONF` plus ``conf``.
+
+    ``streaming`` adds :data:`STREAMING_CONF`.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_CONF, **conf}.items():
+    for key, value in {**SESSION_CONF, **(STREAMING_CONF if streaming else {}), **conf}.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())
 
@@ -84,3 +89,13 @@ def shared_dir(spark: SparkSession) -> str:
 def run_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below :func:`shared_dir` for one run's tables or checkpoints."""
     return f"{shared_dir(spark)}/cityflow/{label}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back: computed once, lineage cut.
+
+    For input that several jobs go over. The table outlives lost executors.
+    """
+    out = run_dir(df.sparkSession, label)
+    df.write.parquet(out)
+    return df.sparkSession.read.schema(df.schema).parquet(out)

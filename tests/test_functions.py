@@ -24,6 +24,10 @@ def one(spark, expr, **values):
         ("second", "2019-04-27-09-06-59", datetime(2019, 4, 27, 9, 6, 59)),
         ("stamp", "2019-04-27 09:06:59", datetime(2019, 4, 27, 9, 6, 59)),
         ("stamp", "27.04.2019", None),
+        ("http", "Date: Sun, 31 Mar 2019 21:23:38 GMT", datetime(2019, 3, 31, 21, 23, 38)),
+        ("http", "Sun, 31 Mar 2019 21:23:38 GMT", datetime(2019, 3, 31, 21, 23, 38)),
+        ("http", "09 Apr 2019 23:46:25 GMT", datetime(2019, 4, 9, 23, 46, 25)),
+        ("http", "yesterday", None),
     ],
 )
 def test_event_time(spark, encoding, value, expected):
@@ -56,6 +60,12 @@ def test_bucket_key_is_a_ten_minute_window(spark):
     assert one(spark, time.bucket_key(ts)) == "2019-04-15-05-2"
 
 
+def test_a_reading_is_repeated_for_ten_minutes(spark):
+    frame = spark.range(1).select(F.lit("2019-01-01 00:00:00").cast("timestamp").alias("ts"))
+    times = frame.select(F.explode(time.repeats("ts")).alias("t")).orderBy("t").collect()
+    assert len(times) == 60 and times[-1].t == datetime(2019, 1, 1, 0, 9, 50)
+
+
 def test_rain_levels(spark):
     levels = spark.createDataFrame([(k,) for k in weather.RAIN_LEVELS], "s STRING").select(
         "s", weather.rain_level(F.col("s"), strict=True).alias("v")

@@ -151,6 +151,21 @@ def test_stream_equals_batch_once_windows_close(spark, message, tmp_path):
     assert rows(streamed) == rows(batch)
 
 
+@pytest.mark.parametrize("hop", [Hop(60, 50), Hop(45, 5)])
+def test_panes_work_on_streams(spark, message, tmp_path, hop):
+    live = [radio_message(str(i % 3), "1.0", f"2019-01-01 00:0{i % 5}:{i:02d}") for i in range(50)]
+    path = str(tmp_path / "messages")
+    message(*live, radio_message("0", "9.0", "2030-01-01 00:00:00")).coalesce(1).write.json(path)
+
+    def stats(messages, paned):
+        timed = with_event_time(messages, "timestamp")
+        good = radio.good_samples(radio.parse_samples(timed))
+        return hopping(good, hop, ["center_freq"], {"m": Mean(F.col("data"))}, paned=paned)
+
+    streamed = drain(stats(read_messages(spark, path, streaming=True), True), "panes")
+    assert rows(streamed) == rows(stats(message(*live), False))
+
+
 def test_joined_stream_equals_batch(spark, message, tmp_path):
     live = [radio_message(str(i % 3), "1.0", f"2019-01-01 00:0{i % 5}:{i:02d}") for i in range(50)]
     path = str(tmp_path / "messages")
