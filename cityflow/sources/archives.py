@@ -69,11 +69,11 @@ def read_labels_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.LABELS_CSV).option("header", True).csv(path)
 
 
-LABEL_LINE = r"^(\S+) - (?:Date: )?(.*?)(?:,(\d+),(\d+))?\s*$"
+LABEL_LINE = r"^(\S+) - (?:Date: )?(.*?\bGMT)(?:,(\d+),(\d+)\s*$)?"
 
 
 def parse_label_lines(lines: DataFrame) -> DataFrame:
-    """``stamp - [Date: ]<http date>[,vehicles,people]``; unlabelled lines have null counts."""
+    """``stamp - [Date: ]<http date>[,vehicles,people]``; without two whole counts both are null."""
     line = F.col("value")
 
     def group(i: int):
