@@ -20,8 +20,8 @@ from cityflow.operators import (
     spectral,
     training,
     tweets,
+    windows,
 )
-from cityflow.operators.windows import tumbling_counts
 from cityflow.options import (
     FEATURES,
     TWEET_TUMBLE,
@@ -34,7 +34,7 @@ from cityflow.plans import dataflows, feeds, set_expansion
 from cityflow.session import prepare, run_dir
 from cityflow.sources import archives, images, messages, payloads, sinks
 from cityflow.sources.annotations import read_sentences
-from cityflow.streaming.writers import drain
+from cityflow.streaming.writers import append_csv, drain
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -158,10 +158,13 @@ def radio_json_out(spark, sf_dir):
     return radio.result_json(stats)
 
 
-@query(f"""{CHANNELS} SELECT center_freq, channel_avg AS average, {stamp('s')} AS avg_start,
+DECODED = f"""{CHANNELS} SELECT center_freq, channel_avg AS average, {stamp('s')} AS avg_start,
   {stamp(f's + {60 * US}')} AS avg_end, congestion,
   CASE WHEN congestion IS NOT NULL THEN {stamp('s')} END AS cong_start,
-  CASE WHEN congestion IS NOT NULL THEN {stamp(f's + {60 * US}')} END AS cong_end FROM stats""")
+  CASE WHEN congestion IS NOT NULL THEN {stamp(f's + {60 * US}')} END AS cong_end FROM stats"""
+
+
+@query(DECODED)
 def radio_json_decode(spark, sf_dir):
     return payloads.decode_channel_results(radio_json_out(spark, sf_dir), "value")
 
@@ -437,8 +440,8 @@ def rewindow_features(spark, sf_dir):
 
 @query(f"""SELECT make_timestamp(epoch_us(ts) // {5 * US} * {5 * US}) AS window_start, count(*) AS n
 FROM events GROUP BY ALL""")
-def tumbling_counts_5s(spark, sf_dir):
-    return window_start_ntz(tumbling_counts(feeds.events(spark, sf_dir), TWEET_TUMBLE))
+def tumbling_counts(spark, sf_dir):
+    return window_start_ntz(windows.tumbling_counts(feeds.events(spark, sf_dir), TWEET_TUMBLE))
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
@@ -1007,6 +1010,17 @@ def radio_stream_stats(spark, sf_dir):
     return _channel_rows(drain(stats, "radio-stats"))
 
 
+@query(f"{DECODED} WHERE s + {60 * US} <= {LAST_EVENT}")
+def radio_csv_log(spark, sf_dir):
+    """Published results subscribed to, decoded and appended to CSV files."""
+    out = run_dir(spark, "csv-log")
+    published = radio.result_json(radio.channel_stats(_sample_stream(spark, sf_dir), threshold=50))
+    decoded = payloads.decode_channel_results(published, "value")
+    append_csv(decoded, out, trigger={"availableNow": True}).awaitTermination()
+    log = spark.read.schema(decoded.schema).option("header", True).csv(out)
+    return rounded(log, "average")
+
+
 @query(f"{CHANNEL_ROWS} WHERE s + {60 * US} <= {LAST_EVENT}")
 def radio_stream_join(spark, sf_dir):
     stats = radio.channel_stats_joined(_sample_stream(spark, sf_dir), threshold=50)

@@ -1,7 +1,10 @@
-"""Annotated-sentence XML to one row per sentence."""
+"""Annotated sentences: from the annotator's XML, or from an annotator run over pages."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,3 +70,32 @@ def from_xml_rows(xml: DataFrame) -> DataFrame:
         F.coalesce(entities, F.array()).alias("entities"),
         F.coalesce(relations, F.array()).alias("relations"),
     )
+
+
+Annotator = Callable[[str], Iterable[dict]]
+
+
+def annotate_pages(pages: DataFrame, load_annotator: Callable[[], Annotator]) -> DataFrame:
+    """Sentence rows of ``pages(url, text)`` from a supplied annotator.
+
+    ``load_annotator`` runs once per task. The annotator maps a page's whole
+    text to sentences, each a dict with ``tokens``, ``entities`` and
+    ``relations`` as lists of dicts named as in SENTENCE; absent lists are empty.
+    """
+
+    def annotated(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        annotate = load_annotator()
+        for batch in batches:
+            for url, page in zip(batch.url, batch.text):
+                rows = [
+                    {
+                        "url": url, "page_order": 0, "sent_id": i,
+                        **{k: sentence.get(k, []) for k in ("tokens", "entities", "relations")},
+                    }
+                    for i, sentence in enumerate(annotate(page), start=1)
+                ]
+                if rows:
+                    yield pd.DataFrame(rows)
+
+    texts = pages.select("url", "text").filter(F.col("text").isNotNull())
+    return texts.mapInPandas(annotated, schemas.SENTENCE)

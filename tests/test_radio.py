@@ -82,6 +82,15 @@ def test_panes_change_nothing(spark, hop):
         assert total == s.count() * hop.size // hop.slide
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_peaks_never_outnumber_samples(spark, seed):
+    s = random_samples(spark, seed=seed)
+    counted = hopping(s, Hop(60, 50), ["center_freq"], {"n": Count(F.lit(1))})
+    both = radio.channel_stats(s, 2.0).join(counted, ["window", "center_freq"])
+    assert both.count() == counted.count()
+    assert both.filter("congestion > n OR channel_avg < 0 OR channel_avg > 4").count() == 0
+
+
 def test_result_json_round_trip(spark):
     s = samples(spark, ("1970-01-01 00:00:20", 476362500.0, 3.0),
                 ("1970-01-01 00:00:20", 5.0, 0.5))

@@ -227,6 +227,26 @@ def test_annotated_xml(spark, tmp_path):
     assert bare.entities == [] and bare.relations == [] and full.url.endswith("page.xml")
 
 
+def test_pages_are_annotated_by_a_supplied_model(spark):
+    def load():
+        names = {"Ann": "PERSON", "Paris": "LOCATION"}
+
+        def annotate(page):
+            for part in page.split(". "):
+                words = part.split()
+                yield {"tokens": [{"id": str(i), "word": w, "ner": names.get(w, "O")}
+                                  for i, w in enumerate(words, start=1)]}
+
+        return annotate
+
+    pages = spark.createDataFrame(
+        [("u", "Ann likes Paris. Nobody else"), ("v", None)], "url STRING, text STRING")
+    got = annotations.annotate_pages(pages, load).orderBy("sent_id").collect()
+    assert [(r.url, r.sent_id, [t.ner for t in r.tokens], r.relations) for r in got] == [
+        ("u", 1, ["PERSON", "O", "LOCATION"], []), ("u", 2, ["O", "O"], []),
+    ]
+
+
 def png(height, width, pixel):
     """A colour PNG from ``pixel(row, column) -> (r, g, b)``."""
     raw = b"".join(
