@@ -8,6 +8,9 @@ no explode, no join and no shuffle until relations are deduplicated.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from itertools import starmap
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,6 +47,12 @@ KINDS = {
 }
 
 
+def is_type(name: Column, wanted: str) -> Column:
+    """Whether a tag names the wanted type, under either tagger's spelling."""
+    spellings = [wanted, *[alias for alias, target in TYPE_ALIASES.items() if target == wanted]]
+    return name.isin(spellings) if len(spellings) > 1 else name == spellings[0]
+
+
 def canonical_type(name: Column) -> Column:
     out = name
     for alias, target in TYPE_ALIASES.items():
@@ -57,30 +66,30 @@ def sentence_text(tokens: Column | str = "tokens") -> Column:
     return F.array_join(F.transform(tokens, lambda t: t["word"]), " ")
 
 
-def keep_rule(kind: RelationKind, count_of) -> Column:
-    """The keep rule of a relation over any source of entity counts."""
-    rule = F.lit(True)
-    for name, least in kind.needs.items():
-        rule = rule & (count_of(name) >= F.lit(least))
-    return rule
-
-
 def candidate_sentences(sentences: DataFrame, kind: RelationKind) -> DataFrame:
     """Sentences holding the entities the relation needs."""
 
-    def count_of(name: str) -> Column:
-        return F.size(F.filter("tokens", lambda t: canonical_type(t["ner"]) == name))
 
-    return sentences.filter(keep_rule(kind, count_of))
+    def enough(name: str, least: int) -> Column:
+        def named(token: Column) -> Column:
+            return is_type(token["ner"], name)
+
+        if least == 1:
+            return F.exists("tokens", named)
+        return F.size(F.filter("tokens", named)) >= least
+
+    return sentences.filter(reduce(and_, starmap(enough, kind.needs.items())))
 
 
 def candidate_groups(tags: DataFrame, keys: list[str], tag: str, kind: RelationKind) -> DataFrame:
     """The same rule over one tag per row: groups whose tag counts satisfy it."""
     names = list(kind.needs)
     counts = tags.groupBy(*keys).agg(
-        *[F.count_if(canonical_type(F.col(tag)) == name).alias(f"n_{name}") for name in names]
+        *[F.count_if(is_type(F.col(tag), name)).alias(f"n_{name}") for name in names]
+    )
+    return counts.filter(
+        " AND ".join(f"n_{name} >= {least}" for name, least in kind.needs.items())
     )
-    return counts.filter(keep_rule(kind, lambda name: F.col(f"n_{name}")))
 
 
 def extract_relations(sentences: DataFrame, kind: RelationKind) -> DataFrame:
@@ -93,9 +102,9 @@ def extract_relations(sentences: DataFrame, kind: RelationKind) -> DataFrame:
     """
 
     def two_types(rel: Column) -> Column:
-        a, b = canonical_type(rel["args"][0]["type"]), canonical_type(rel["args"][1]["type"])
-        return ((a == kind.first) & (b == kind.second)) | (
-            (a == kind.second) & (b == kind.first)
+        a, b = rel["args"][0]["type"], rel["args"][1]["type"]
+        return (is_type(a, kind.first) & is_type(b, kind.second)) | (
+            is_type(a, kind.second) & is_type(b, kind.first)
         )
 
     wanted = F.filter(
@@ -103,7 +112,7 @@ def extract_relations(sentences: DataFrame, kind: RelationKind) -> DataFrame:
         lambda r: (r["type"] == kind.name) & (F.size(r["args"]) >= 2) & two_types(r),
     )
     legal = F.filter(
-        "entities", lambda e: canonical_type(e["type"]).isin(kind.first, kind.second)
+        "entities", lambda e: is_type(e["type"], kind.first) | is_type(e["type"], kind.second)
     )
     rows = sentences.select(
         "url", "page_order", "sent_id", "tokens", legal.alias("legal"),
@@ -123,7 +132,7 @@ def extract_relations(sentences: DataFrame, kind: RelationKind) -> DataFrame:
         )
 
     named = F.filter("r.probs", lambda p: p["label"] == kind.name)
-    swap = canonical_type(F.col("r.args")[0]["type"]) == kind.second
+    swap = is_type(F.col("r.args")[0]["type"], kind.second)
     located = rows.select(
         "url", "page_order", "sent_id", "seq", "tokens", swap.alias("swap"),
         entity(0).alias("a"), entity(1).alias("b"), F.get(named, 0)["value"].alias("confidence"),
