@@ -47,9 +47,14 @@ def bad_samples(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("fault").isNotNull())
 
 
+def is_signal(threshold: float) -> Column:
+    """At or above the threshold. Spark orders NaN above every number; it is no signal."""
+    return (F.col("data") >= F.lit(threshold)) & ~F.isnan("data")
+
+
 def detect_signals(samples: DataFrame, threshold: float = PEAK_THRESHOLD) -> DataFrame:
     """Samples at or above the threshold."""
-    return samples.filter(F.col("data") >= F.lit(threshold))
+    return samples.filter(is_signal(threshold))
 
 
 def mark_peaks(signals: DataFrame) -> DataFrame:
@@ -58,7 +63,7 @@ def mark_peaks(signals: DataFrame) -> DataFrame:
 
 
 def _peak(threshold: float) -> Column:
-    return F.when(F.col("data") >= F.lit(threshold), F.lit(1.0))
+    return F.when(is_signal(threshold), F.lit(1.0))
 
 
 def channel_stats(
@@ -122,8 +127,10 @@ def result_json(stats: DataFrame) -> DataFrame:
         )
         return F.when(F.col(value).isNotNull(), one).otherwise(F.array())
 
-    # Hertz are printed as a plain decimal, never in exponent form.
-    freq = F.format_string("%.1f", F.col("center_freq"))
+    # Hertz are printed as a plain decimal where one digit says it all.
+    hertz = F.col("center_freq")
+    plain = F.format_string("%.1f", hertz)
+    freq = F.when(plain.cast("double") == hertz, plain).otherwise(hertz.cast("string"))
     both = F.struct(
         side("congestion").alias("congestion"), side("channel_avg").alias("average")
     )

@@ -79,13 +79,15 @@ def hopping(
 ) -> DataFrame:
     """Aggregate ``measures`` per window and ``keys``; one row per non-empty group.
 
-    ``paned=None`` uses panes where they save copying: on batch frames whose
-    rows would fall into more than two windows each. Both forms give the same
-    rows, and both aggregate before they shuffle, so a hot key or window
-    reaches its reducer as one partial row per task.
+    ``paned=None`` uses panes where they save copying: when a row would fall
+    into more than two windows. Both forms give the same rows, and both
+    aggregate before they shuffle, so a hot key or window reaches its reducer
+    as one partial row per task. On a stream panes also hold less state, but
+    being two aggregations in a row they need append mode: pass ``paned=False``
+    for early results in update mode.
     """
     if paned is None:
-        paned = hop.fan_out > 2 and not df.isStreaming
+        paned = hop.fan_out > 2
     if not paned:
         aggs = [_direct(m).alias(name) for name, m in measures.items()]
         return df.groupBy(window_of(hop, ts), *keys).agg(*aggs)

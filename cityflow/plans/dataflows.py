@@ -69,9 +69,11 @@ def city_state(
     bounds: NormalizerBounds | None = None,
     centers=None,
     watermark: str = "0 seconds",
+    paned: bool | None = None,
 ) -> DataFrame:
     """Feature point, normalised point and nearest cluster per hopping window."""
-    points = features.feature_points(_records(traffic, tweet_feed, weather, watermark), hop)
+    records = _records(traffic, tweet_feed, weather, watermark)
+    points = features.feature_points(records, hop, paned)
     return cluster.assign_clusters(normalize.normalise_points(points, bounds), centers)
 
 

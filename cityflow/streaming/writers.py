@@ -50,6 +50,7 @@ def early_results(
     """Windows as they stand after each trigger, before the watermark closes them.
 
     Rows repeat with newer values, so ``on_batch(frame, batch_id)`` must upsert.
+    Update mode takes one aggregation only: build hopping frames with ``paned=False``.
     """
     writer = _writer(df, checkpoint, "update", {"processingTime": every})
     return writer.foreachBatch(on_batch).start()

@@ -10,7 +10,7 @@ from cityflow.operators import cluster, features, normalize
 from cityflow.options import FEATURES, Bounds, Hop, MedoidModel, NormalizerBounds
 from cityflow.plans import dataflows
 from cityflow.sources.messages import read_messages
-from cityflow.streaming.writers import drain
+from cityflow.streaming.writers import drain, early_results
 from conftest import rows
 
 EPOCH = datetime(1970, 1, 1)
@@ -230,6 +230,27 @@ def test_city_state_stream_equals_batch(spark, message, tmp_path, dataflow):
     assert flat(streamed) == flat(batch) and batch.count() > 5
 
 
+def test_early_city_state_in_update_mode(spark, message, tmp_path):
+    kinds = feeds(message)
+    streams = []
+    for name, rows_ in zip(("traffic", "tweets", "weather"), kinds):
+        path = str(tmp_path / name)
+        message(*rows_).coalesce(1).write.json(path)
+        streams.append(read_messages(spark, path, streaming=True))
+    seen = {}
+
+    def upsert(batch, _):
+        seen.update({r.window.start: r.cluster for r in batch.collect()})
+
+    query = early_results(dataflows.city_state(*streams, paned=False), upsert, every="1 second")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    batch = dataflows.city_state(*[message(*rows_) for rows_ in kinds])
+    assert seen == {r.window.start: r.cluster for r in batch.collect()}
+
+
 def test_tweet_counts_stream(spark, message, tmp_path):
     sent = [("t", {"id_str": str(i), "timestamp_ms": str(1_556_000_000_000 + 700 * i)},
              "2019-01-01 00:00:00") for i in range(40)]

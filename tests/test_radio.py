@@ -45,6 +45,21 @@ def test_empty_input(spark):
     assert radio.channel_stats(samples(spark).limit(0)).count() == 0
 
 
+def test_nan_is_no_signal(spark):
+    s = samples(spark, ("1970-01-01 00:00:20", 1.0, float("nan")),
+                ("1970-01-01 00:00:20", 1.0, float("-inf")),
+                ("1970-01-01 00:00:20", 2.0, float("inf")))
+    assert rows(radio.channel_stats(s), "center_freq", "congestion") == [(1.0, None), (2.0, 1.0)]
+    assert radio.detect_signals(s).count() == 1
+
+
+def test_frequencies_survive_publication(spark):
+    freqs = (462562500.0, 100.25, 100.3, 462562500.125)
+    s = samples(spark, *[("1970-01-01 00:00:20", f, 0.0) for f in freqs])
+    decoded = decode_channel_results(radio.result_json(radio.channel_stats(s)), "value")
+    assert sorted(r.center_freq for r in decoded.collect()) == sorted(freqs)
+
+
 def random_samples(spark, n=400, seed=3):
     rng = random.Random(seed)
     values = [(f"2019-05-01 00:{rng.randrange(20):02d}:{rng.randrange(60):02d}",
