@@ -47,6 +47,8 @@ def grams(text: str | None) -> np.ndarray | None:
         any_letter = any_letter or bool(letter.any())
         code = np.where(letter, code, 32)
         code = code[(code != 32) | np.r_[True, code[:-1] != 32]]
+        if len(tail) and tail[-1] == 32 and len(code) and code[0] == 32:
+            code = code[1:]  # a gap that goes on from the piece before
         code = np.concatenate([tail, code])
         one = code * np.uint32(2654435761)
         two = (one[:-1] ^ (code[1:] * np.uint32(2246822519))) * np.uint32(3266489917)

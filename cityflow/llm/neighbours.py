@@ -208,9 +208,11 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.9
     named = (
         classes.join(linked, "rep", "left")
         .join(parts, F.col("rep") == F.col("node"), "left")
-        .select("v", F.coalesce("component", "least").alias("component_id"),
+        .select("v", "least", F.coalesce("component", "rep").alias("part"),
                 (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     )
+    smallest = named.groupBy("part").agg(F.min("least").alias("component_id"))
+    named = named.join(smallest, "part").select("v", "component_id", "n_links")
     ids = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
     out = ids.join(named, "v", "left").select(
         "vec_id",

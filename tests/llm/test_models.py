@@ -11,9 +11,9 @@ SF = "/root/testdata/sf0.01"
 given = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
 
 
-def fold(spark, query, label, table):
-    truth = spark.read.parquet(f"{SF}/{table}.parquet").select("doc_id", label)
-    return query(spark, SF).where("held_out").join(truth, "doc_id").toPandas()
+def fold(spark, query, label, table, sf=SF):
+    truth = spark.read.parquet(f"{sf}/{table}.parquet").select("doc_id", label)
+    return query(spark, sf).where("held_out").join(truth, "doc_id").toPandas()
 
 
 @given
@@ -30,9 +30,9 @@ def test_quality_held_out(spark):
 
 @given
 def test_toxicity_held_out(spark):
-    got = fold(spark, registry.op10_toxicity_network, "toxic", "labels")
-    assert ((got["toxic"] == 0) & (got["predicted"] == 1)).sum() <= 0.03 * len(got)
-    assert got.loc[got["toxic"] == 1, "score"].mean() > got.loc[got["toxic"] == 0, "score"].mean() + 0.3
+    got = fold(spark, registry.op10_toxicity_network, "toxic", "labels", "/root/testdata/sf0.1")
+    assert ((got["toxic"] == 0) & (got["predicted"] == 1)).sum() <= 0.01 * len(got)
+    assert got.loc[got["toxic"] == 1, "predicted"].mean() > 0.8
 
 
 def test_codewords_are_apart():
@@ -54,7 +54,7 @@ def test_ambiguous_text_is_flagged(spark, documents):
     rows = [(k, "the cat and the dog of the house " * 3, "en", "a") for k in range(40)]
     rows += [(100 + k, "der hund und die katze von dem haus " * 3, "de", "a") for k in range(40)]
     model = language.learn(documents(*rows))
-    got = {r.doc_id: r for r in language.identify(documents((1, "the house and the cat"), (2, "zzzz"), (3, "42")), model).collect()}
+    got = {r.doc_id: r for r in language.identify(documents((1, "the house and the cat"), (2, "zzzz"), (3, "42")), model, 0.4).collect()}
     assert got[1].lang_pred == "en" and not got[1].ambiguous
     assert got[2].ambiguous and got[3].lang_pred == "und" and got[3].score == 0
 
