@@ -54,7 +54,8 @@ def enrich(
     left, right = stream, records
     if salt > 1:
         keys = [key, "_salt"]
-        spread = F.pmod(F.xxhash64(*stream.columns), F.lit(salt)).cast("int")
+        # by draw, not by value: equal rows spread too, and any draw joins alike
+        spread = F.floor(F.rand(7) * salt).cast("int")
         left = stream.withColumn("_salt", spread)
         right = records.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     if on_missing == "drop":

@@ -99,9 +99,13 @@ def score_images(
     return flat.mapInPandas(score, schema)
 
 
-def sorted_slice(df: DataFrame, keys: list[str], first: int, last: int) -> DataFrame:
-    """Rows ``first`` to ``last`` (exclusive) in the order of ``keys``."""
-    return df.orderBy(*keys).offset(first).limit(last - first)
+def sorted_slice(
+    df: DataFrame, keys: list[str], first: int | None = None, last: int | None = None
+) -> DataFrame:
+    """Rows ``first`` to ``last`` (exclusive) in the order of ``keys``; an open end means all."""
+    first = first or 0
+    rows = df.orderBy(*keys).offset(first)
+    return rows if last is None else rows.limit(max(0, last - first))
 
 
 def label_value(vehicles="vehicles", people="people"):
@@ -109,8 +113,14 @@ def label_value(vehicles="vehicles", people="people"):
     return (F.col(vehicles) + F.col(people)) / F.lit(float(LABEL_SCALE))
 
 
-def train_test_split(df: DataFrame, test_share: float = 0.1, seed: int = 7):
-    return df.randomSplit([1 - test_share, test_share], seed)
+def train_test_split(df: DataFrame, key: str, test_share: float = 0.1, seed: int = 7):
+    """Training and test rows, drawn by a hash of ``key``: one pass, the same rows on every run.
+
+    Rows of one key stay together; a null key counts as one key.
+    """
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit("")))
+    draw = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    return df.where(draw >= test_share), df.where(draw < test_share)
 
 
 def model_error(df: DataFrame, predict: str = "predict", label: str = "label") -> DataFrame:

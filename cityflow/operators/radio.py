@@ -15,7 +15,7 @@ def parse_samples(messages: DataFrame, legacy_defaults: bool = False) -> DataFra
     """Messages to radio samples, with the reason why a sample is unusable, if any.
 
     A message lacking its payload becomes -1.0 under ``legacy_defaults`` and is
-    reported as ``missing data`` otherwise.
+    reported as ``missing data`` otherwise. Where ``ts`` is there, a null one is a fault.
     """
     text = payload_text()
     if legacy_defaults:
@@ -27,6 +27,8 @@ def parse_samples(messages: DataFrame, legacy_defaults: bool = False) -> DataFra
         .when(freq_text.isNull(), "missing center_freq")
         .when(number(freq_text).isNull(), "bad center_freq")
     )
+    if "ts" in messages.columns:  # without a time a sample belongs to no window
+        fault = fault.when(F.col("ts").isNull(), "bad timestamp")
     kept = [c for c in messages.columns if c not in ("data", "attributes")]
     return messages.select(
         *kept,

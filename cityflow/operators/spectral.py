@@ -45,8 +45,9 @@ def power_spectrum(frames: DataFrame, re: Column | str = "re", im: Column | str
             for n in np.unique(lengths[lengths > 0]):
                 rows = np.flatnonzero(lengths == n)
                 frame = np.stack(re_part.iloc[rows].to_list()).astype(np.float64)
-                if im_part is not None and im_part.iloc[rows[0]] is not None:
-                    frame = frame + 1j * np.stack(im_part.iloc[rows].to_list())
+                # each frame by itself: one without an imaginary part is real
+                imag = [np.zeros(n) if x is None else x for x in im_part.iloc[rows]]
+                frame = frame + 1j * np.stack(imag).astype(np.float64)
                 for row, power in zip(rows, power_db(frame)):
                     out[row] = power
             yield pd.Series(out)

@@ -79,15 +79,18 @@ def hopping(
 ) -> DataFrame:
     """Aggregate ``measures`` per window and ``keys``; one row per non-empty group.
 
-    ``paned=None`` uses panes where they save copying: when a row would fall
-    into more than two windows. Both forms give the same rows, and both
-    aggregate before they shuffle, so a hot key or window reaches its reducer
-    as one partial row per task. On a stream panes also hold less state, but
-    being two aggregations in a row they need append mode: pass ``paned=False``
-    for early results in update mode.
+    ``paned=None`` uses panes in a batch where they save copying: when a row
+    would fall into more than two windows. There both forms give the same rows,
+    and both aggregate before they shuffle, so a hot key or window reaches its
+    reducer as one partial row per task.
+
+    A stream is never paned unless asked: a pane closes before the last window it
+    feeds, so a row late for its pane is lost to windows that are still open.
+    ``paned=True`` on a stream holds less state, needs append mode, and loses no
+    row only if the watermark allows a lateness of ``hop.size`` more than rows have.
     """
     if paned is None:
-        paned = hop.fan_out > 2
+        paned = hop.fan_out > 2 and not df.isStreaming
     if not paned:
         aggs = [_direct(m).alias(name) for name, m in measures.items()]
         return df.groupBy(window_of(hop, ts), *keys).agg(*aggs)

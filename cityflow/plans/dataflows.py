@@ -123,11 +123,12 @@ def score_image_folder(
 ) -> DataFrame:
     """Images of a folder, optionally a slice in name order, to ``localdatetime, predict``.
 
-    The slice is taken on the file listing, whose order is that of the file names.
+    The slice is taken on the listing of the folder's image files, in order of
+    name; either end may be open.
     """
-    frames = images.read_images(spark, path)
-    if first is not None and last is not None:
-        listing = images.read_manifest(spark, path, "*")
+    frames = images.read_images(spark, path, images.IMAGE_FILES)
+    if first is not None or last is not None:
+        listing = images.read_manifest(spark, path, images.IMAGE_FILES, recursive=False)
         names = listing.select(images.file_name(F.col("path")).alias("name"))
         chosen = imaging.sorted_slice(names, ["name"], first, last)
         named = frames.withColumn("name", images.file_name(F.col("image.origin")))

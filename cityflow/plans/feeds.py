@@ -26,11 +26,15 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events file as a stream; its zone-less times are read as UTC."""
-    schema = events(spark, sf_dir).schema
-    stream = (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+    """The events table, one file or a folder of them, as a stream; zone-less times are UTC."""
+    schema = events(spark, sf_dir).schema  # fails where there is no table
+    reader = spark.readStream.schema(schema)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getFileStatus(path).isDirectory():
+        stream = reader.parquet(f"{sf_dir}/events.parquet")
+    else:
+        stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 

@@ -328,9 +328,11 @@ def model_error(spark, sf_dir):
     return rounded(imaging.model_error(scored), "mae", "mse")
 
 
-@query()
+@query("""SELECT CASE WHEN CAST('0x' || substr(md5('7:' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT)
+    / 4294967296.0::DOUBLE < 0.1 THEN 'test' ELSE 'train' END AS part, count(*) AS n
+FROM events GROUP BY part""")
 def train_test_counts(spark, sf_dir):
-    parts = imaging.train_test_split(feeds.events(spark, sf_dir).select("event_id"))
+    parts = imaging.train_test_split(feeds.events(spark, sf_dir).select("event_id"), "event_id")
     named = [p.select(F.lit(n).alias("part")) for n, p in zip(("train", "test"), parts)]
     return named[0].unionByName(named[1]).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 

@@ -10,6 +10,7 @@ and a lost executor costs one round's work at most.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import chain
@@ -34,17 +35,21 @@ class Expansion:
     iterations: int = 0
 
 
-def search_pages(pages: DataFrame, query: str, hits: int = 10) -> DataFrame:
-    """The ``hits`` pages holding most words of the query; equals in address order.
+def search_pages(pages: DataFrame, query: str, hits: int | None = 10) -> DataFrame:
+    """The ``hits`` pages holding most words of the query (None: all); equals in address order.
 
+    Query and pages are cut into words alike; a query without words finds no page.
     A plain substring test comes first: only pages passing it are split into words.
     """
-    words = sorted(set(query.lower().split()))
+    words = sorted(set(re.findall(r"(?:[^\W_]|#)+", query.lower())))
+    if not words:
+        return pages.limit(0).select("url", F.lit(0).alias("matched"))
     text = F.lower("text")
     maybe = reduce(or_, [text.contains(w) for w in words])
     found = F.array_intersect(F.array(*map(F.lit, words)), F.split(text, WORD_BREAK))
     scored = pages.filter(maybe).select("url", F.size(found).alias("matched"))
-    return scored.filter("matched > 0").orderBy(F.desc("matched"), "url").limit(hits)
+    ranked = scored.filter("matched > 0").orderBy(F.desc("matched"), "url")
+    return ranked if hits is None else ranked.limit(hits)
 
 
 def expand(
@@ -56,7 +61,7 @@ def expand(
     k: int,
     max_iterations: int = 5,
     patience: int = 4,
-    hits: int = 10,
+    hits: int | None = 10,
 ) -> Expansion:
     """Run the loop over ``pages(url, text)`` and their annotated ``sentences``.
 

@@ -15,12 +15,18 @@ def read_images(spark: SparkSession, path: str, pattern: str | None = None) -> D
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
 
 
-def read_manifest(spark: SparkSession, path: str, pattern: str = "*.jpg") -> DataFrame:
+#: Files that the image reader decodes.
+IMAGE_FILES = "*.{jpg,jpeg,png,gif,bmp,JPG,JPEG,PNG,GIF,BMP}"
+
+
+def read_manifest(
+    spark: SparkSession, path: str, pattern: str = "*.jpg", recursive: bool = True
+) -> DataFrame:
     """Stored path per image; the content is never read."""
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", True)
+        .option("recursiveFileLookup", recursive)
         .load(path)
         .select("path", "modificationTime", "length")
     )

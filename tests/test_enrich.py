@@ -88,3 +88,11 @@ def test_sweep_equals_single_runs(vitals, patients):
     for s in steps:
         one = enrich.filter_before_join(vitals, patients, "id", "vital", 1.0, s)
         assert swept[round(1 - s, 1)] == one.count()
+
+
+def test_equal_rows_spread_over_all_salts(spark):
+    stream = spark.range(1000).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    lookup = spark.createDataFrame([(1, "one"), (2, "two")], "k INT, name STRING")
+    spread = F.floor(F.rand(7) * 8).cast("int")
+    assert stream.select(spread.alias("s")).distinct().count() == 8
+    assert enrich.enrich(stream, lookup, "k", salt=8).count() == 1000

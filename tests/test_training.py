@@ -57,6 +57,6 @@ def test_labels_split_and_error(spark):
     assert rows(labelled, "label") == [(0.25,), (0.5,)]
     error = imaging.model_error(labelled).first()
     assert (error.mae, error.mse) == (0.25, 0.0625)
-    train, test = imaging.train_test_split(spark.range(2000))
+    train, test = imaging.train_test_split(spark.range(2000), "id")
     assert train.count() + test.count() == 2000 and 120 < test.count() < 280
     assert train.intersect(test).count() == 0
