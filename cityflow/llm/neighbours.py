@@ -76,13 +76,14 @@ def usable(vectors: DataFrame) -> DataFrame:
     v = F.col("embedding")
     good = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     some = F.exists(v, lambda x: x != 0)
-    return vectors.select("vec_id", v.cast("array<double>").alias("v")).where(
+    return vectors.select("vec_id", v.alias("v")).where(
         v.isNotNull() & F.coalesce(good, F.lit(False)) & F.coalesce(some, F.lit(False))
     )
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
-    scaled = vectors / np.abs(vectors).max(axis=1, keepdims=True)
+    scaled = vectors.astype(np.float64)
+    scaled = scaled / np.abs(scaled).max(axis=1, keepdims=True)
     return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
 
@@ -127,11 +128,12 @@ def links(classes: DataFrame, plan: Plan, cosine: float, limit: int = 4096) -> D
     each row carries its cells of all tables. ``n`` is the number of vectors
     linked to ``rep`` in the cell, ``other`` the smallest class of its part there.
     """
-    keyed = cells(classes, plan)
-    placed = keyed.select("rep", F.posexplode("keys").alias("table", "cell"), "keys")
-    placed = placed.select("rep", "table", "keys", F.xxhash64("table", "cell").alias("key"))
+    keyed = settle(cells(classes, plan), "cells")
+    placed = keyed.select("rep", F.posexplode("keys").alias("table", "cell"))
+    placed = placed.select("rep", "table", F.xxhash64("table", "cell").alias("key"))
     # only ids travel until it is known which cells have more than one vector
-    rows = arranged(spread(placed, "key", "rep", limit).join(classes, "rep"))
+    whole = classes.join(keyed, "rep")
+    rows = arranged(spread(placed, "key", "rep", limit).join(whole, "rep"))
 
     def compare(batches):
         for part in whole_groups(batches, rows=8192):
@@ -213,7 +215,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.9
     )
     smallest = named.groupBy("part").agg(F.min("least").alias("component_id"))
     named = named.join(smallest, "part").select("v", "component_id", "n_links")
-    ids = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    ids = vectors.select("vec_id", F.col("embedding").alias("v"))
     out = ids.join(named, "v", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
