@@ -61,11 +61,12 @@ def targets(sizes: DataFrame, cap: int = 3) -> DataFrame:
         .withColumn("all_weight", F.sum("weight").over(total))
         .withColumn("room_to", F.sum("room").over(upto))
         .withColumn("weight_to", F.sum("weight").over(upto))
-        # the level if all before this source are full; the least true one is where it is not
+        # the level if just those before this source are full; it rises while sources fill
+        # up and falls after, so the true one is the greatest
         .withColumn("level", level)
         .withColumn("full", F.col("ratio") <= F.col("level"))
     )
-    found = F.min(F.when(~F.col("full"), F.col("level"))).over(total)
+    found = F.max(F.when(~F.col("full"), F.col("level"))).over(total)
     return ranked.withColumn("found", found).select(
         "source",
         "source_size",
@@ -142,7 +143,7 @@ levelled AS (
   SELECT *, CAST(all_size - room_to + room AS DOUBLE) / (all_weight - weight_to + weight) AS level FROM ranked),
 goals AS (
   SELECT source, source_size, CASE WHEN ratio <= level THEN CAST(room AS DOUBLE)
-    ELSE min(CASE WHEN ratio > level THEN level END) OVER () * weight END AS target
+    ELSE max(CASE WHEN ratio > level THEN level END) OVER () * weight END AS target
   FROM levelled),
 rates AS (
   SELECT d.*, g.source_size, g.target,

@@ -56,6 +56,16 @@ def test_targets_and_copies(spark, documents):
     assert mixing.mix(documents(*rows)).count() == report["copies"].sum()
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_targets_of_any_sizes(spark, seed):
+    rng = random.Random(seed)
+    sizes = {f"s{k}": rng.choice([0, 1, 10, 900, 1000, 1100, 50_000]) for k in range(rng.randrange(1, 25))}
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(mixing.cycled_weights(rows)).collect()}
+    want = level_targets(sizes)
+    assert all(np.isclose(got[s], want[s]) for s in sizes) and np.isclose(sum(got.values()), sum(sizes.values()))
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_containment_finds_all(spark, documents, seed):
     rng = random.Random(seed)
