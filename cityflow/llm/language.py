@@ -8,6 +8,7 @@ contradict least is chosen, and a text whose best two are close is flagged.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityflow.llm.common import held_out, map_texts, sample_for_fit
+from cityflow.session import settle
 
 FIT_ROWS = 20_000
 BUCKETS = 1 << 13
@@ -111,30 +113,65 @@ class Codes:
         return best, share[rows, best], second
 
 
-def fit(x: np.ndarray, lang: list[str], rounds: int = 60, rate: float = 20.0) -> Codes:
+Sparse = tuple[np.ndarray, np.ndarray]
+
+
+def packed(rows: list[Sparse], size: int = 512) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """Rows of (buckets, shares) by blocks: number of rows, places in a dense block, shares."""
+    out = []
+    for start in range(0, len(rows), size):
+        part = rows[start : start + size]
+        place = [k * BUCKETS + at.astype(np.int32) for k, (at, _) in enumerate(part)]
+        out.append((len(part), np.concatenate(place), np.concatenate([s for _, s in part])))
+    return out
+
+
+def dense(blocks) -> Iterator[np.ndarray]:
+    """Each block as a matrix, one at a time in the same memory: the fit never holds them all."""
+    room = np.zeros((max((n for n, _, _ in blocks), default=0), BUCKETS), np.float32)
+    for n, place, share in blocks:
+        room.reshape(-1)[place] = share
+        yield room[:n]
+        room.reshape(-1)[place] = 0
+
+
+def fit(rows: list[Sparse], lang: list[str], rounds: int = 60, rate: float = 20.0) -> Codes:
     """One logistic regression per bit by full-batch accelerated gradient steps.
 
-    ``x`` holds one row of n-gram shares per text. Classes count alike, however
-    many texts each has.
+    ``rows`` holds the buckets and shares of one text each. Classes count alike,
+    however many texts each has.
     """
     languages = sorted(set(lang))
     at = {name: i for i, name in enumerate(languages)}
     y = np.array([at[name] for name in lang], dtype=int)
     code = codewords(len(languages))
     bits = code.shape[1]
-    weights, bias, ahead = np.zeros((x.shape[1], bits)), np.zeros(bits), np.zeros((x.shape[1], bits))
+    weights, bias, ahead = np.zeros((BUCKETS, bits)), np.zeros(bits), np.zeros((BUCKETS, bits))
     if not len(languages):
         return Codes([], code, weights, bias, np.ones(bits))
     sign = code[y]
     each = 1.0 / (np.bincount(y)[y] * len(languages))
+    blocks = packed(rows)
+
+    def margins(w: np.ndarray) -> Iterator[tuple[np.ndarray, slice, np.ndarray]]:
+        start = 0
+        for x in dense(blocks):
+            own = slice(start, start + len(x))
+            yield x, own, sign[own] * (x @ w.astype(np.float32) + bias)
+            start += len(x)
+
     for step in range(rounds):
-        pull = sign / (1.0 + np.exp(np.clip(sign * (x @ ahead + bias), -40, 40))) * each[:, None]
-        new = ahead + rate * (x.T @ pull - 1e-4 * ahead)
-        bias = bias + pull.sum(axis=0)
+        slope, shift = -1e-4 * ahead, np.zeros(bits)
+        for x, own, margin in margins(ahead):
+            pull = sign[own] / (1.0 + np.exp(np.clip(margin, -40, 40))) * each[own, None]
+            slope += x.T @ pull.astype(np.float32)
+            shift += pull.sum(axis=0)
+        new = ahead + rate * slope
+        bias = bias + shift
         ahead = new + (step / (step + 3.0)) * (new - weights)
         weights = new
-    right = ((x @ weights + bias) * sign > 0).astype(float)
-    error = np.clip(1 - (right * each[:, None]).sum(axis=0), 1e-3, 0.5)
+    right = sum(((m > 0) * each[own, None]).sum(axis=0) for _, own, m in margins(weights))
+    error = np.clip(1 - right, 1e-3, 0.5)
     trust = np.log((1 - error) / error)
     return Codes(languages, code, weights, bias, trust / max(trust.mean(), 1e-9))
 
@@ -142,38 +179,36 @@ def fit(x: np.ndarray, lang: list[str], rounds: int = 60, rate: float = 20.0) ->
 def learn(docs: DataFrame, bound: int = FIT_ROWS) -> Codes:
     """Fit on texts with a known language outside the held-out fold, at most ``bound`` of them.
 
-    The n-gram shares of the sample come to the driver in single precision,
-    sparse: a few hundred numbers a text.
+    The n-gram shares of the sample come to the driver sparse: about a thousand
+    numbers a text. Of rows that repeat an id one counts, the least by language
+    and shares.
     """
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
-    chosen = sample_for_fit(known.select("doc_id"), bound)
-    rows = known.select("doc_id", "text", "lang").join(chosen.distinct(), "doc_id")
+    known = known.where(F.col("doc_id").isNotNull())
+    # at most ``bound`` ids: small enough to send to every task
+    chosen = F.broadcast(sample_for_fit(known.select("doc_id"), bound).distinct())
+    rows = known.select("doc_id", "text", "lang").join(chosen, "doc_id", "left_semi")
 
     def make():
         def work(ids, texts, langs):
             kept = [(i, g, n) for i, g, n in zip(ids, map(grams, texts), langs) if g is not None]
-            at = [np.flatnonzero(g).astype(np.int32) for _, g, _ in kept]
+            at = [np.flatnonzero(g) for _, g, _ in kept]
             return {
                 "doc_id": [i for i, _, _ in kept],
-                "at": at,
-                "share": [g[k].astype(np.float32) for (_, g, _), k in zip(kept, at)],
+                "at": [k.astype("<u2").tobytes() for k in at],
+                "share": [g[k].astype("<f4").tobytes() for (_, g, _), k in zip(kept, at)],
                 "lang": [n for _, _, n in kept],
             }
 
         return work
 
-    schema = "doc_id long, at array<int>, share array<float>, lang string"
+    schema = "doc_id long, at binary, share binary, lang string"
     got = map_texts(rows, make, schema, ("doc_id", "text", "lang"))
-    got = got.orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "share").limit(bound)
-    names, x = [], np.zeros((0, BUCKETS), np.float32)
-    parts = []
-    for r in got.toLocalIterator():
-        row = np.zeros(BUCKETS, np.float32)
-        row[r["at"]] = r["share"]
-        parts.append(row)
-        names.append(r["lang"])
-    x = np.stack(parts) if parts else x
-    return fit(x, names)
+    one = got.groupBy("doc_id").agg(F.min(F.struct("lang", "at", "share")).alias("r"))
+    found = settle(one.select("doc_id", "r.*"), "language-sample")
+    ordered = sorted(found.toLocalIterator(), key=lambda r: r["doc_id"])
+    pairs = [(np.frombuffer(r["at"], "<u2"), np.frombuffer(r["share"], "<f4")) for r in ordered]
+    return fit(pairs, [r["lang"] for r in ordered])
 
 
 def identify(docs: DataFrame, model: Codes, close: float = CLOSE) -> DataFrame:
