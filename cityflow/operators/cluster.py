@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
@@ -53,21 +54,28 @@ def fit_weather_clusters(
     """k-means on max-scaled columns: ``(model, scaled rows with a prediction, centres)``.
 
     The centres are brought back to the original scale and rounded (halves to even) to one
-    decimal; the frame has ``k`` rows.
+    decimal; the frame has ``k`` rows. A column of zeros stays zero. Rows that
+    lack a value are left out of the fit and keep a null prediction.
     """
     rows = settle(rows, "cluster-rows")
-    scaled = _assembled(max_scale(rows, columns), columns)
+    whole = F.lit(True)
+    for c in columns:
+        whole = whole & F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    zeroed = {c: F.coalesce(F.col(c), F.lit(0.0)) for c in columns}
+    scaled = _assembled(max_scale(rows.where(whole), columns).withColumns(zeroed), columns)
     model = KMeans(k=k, seed=seed, featuresCol="features").fit(scaled)
     spark = rows.sparkSession
     centers = spark.createDataFrame(
         [(i, *map(float, c)) for i, c in enumerate(model.clusterCenters())],
         "cluster INT, " + ", ".join(f"{c} DOUBLE" for c in columns),
     )
-    tops = rows.agg(F.struct(*[F.max(c).cast("double").alias(c) for c in columns])).scalar()
+    tops = rows.where(whole).agg(F.struct(*[F.max(c).cast("double").alias(c) for c in columns])).scalar()
     denormalised = centers.select(
         "cluster", *[F.bround(F.col(c) * tops[c], 1).alias(c) for c in columns]
     )
-    return model, model.transform(scaled), denormalised
+    partial = rows.where(~whole).withColumns({c: F.col(c).cast("double") for c in columns})
+    predicted = model.transform(scaled).unionByName(partial, allowMissingColumns=True)
+    return model, predicted, denormalised
 
 
 def fit_medoids(
@@ -82,7 +90,9 @@ def fit_medoids(
     The sum of squared distances from a member to the rest of its cluster is
     ``n * |member - mean|^2`` plus a constant, so the exact medoid is the
     member nearest to the mean: two aggregations per round, no pairs and no
-    sampling. Only ``k`` centres ever reach the driver.
+    sampling. Only ``k`` centres ever reach the driver. No rows give no medoids;
+    fewer than ``k`` different ones are an error, and medoids that still move
+    after ``max_iter`` rounds are a warning.
     """
     rows = settle(points.select(*columns).dropna(), "points")
     if rows.isEmpty():
@@ -101,6 +111,10 @@ def fit_medoids(
         if updated == medoids:
             break
         medoids = updated
+    else:
+        warnings.warn(f"medoids still move after {max_iter} rounds", RuntimeWarning, stacklevel=2)
+    if len(medoids) < k:
+        raise ValueError(f"{len(medoids)} different medoids found, not {k}")
     return medoids
 
 

@@ -156,20 +156,28 @@ def extract_relations(sentences: DataFrame, kind: RelationKind) -> DataFrame:
 ORDER = ("page_order", "sent_id", "seq")
 
 
+def _positions(relations: DataFrame, order: list[str] | None) -> list[str]:
+    """``order``, ended by the page's address: positions repeat from page to page."""
+    order = list(order or ORDER)
+    return [*order, "url"] if "url" in relations.columns and "url" not in order else order
+
+
 def keep_best(relations: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """The highest-confidence row per ``keys``; of equals the earliest wins.
 
     An aggregate, not a ranking window: a pair holding a third of all rows
     reaches its reducer as one candidate per task. The survivor takes the
-    position at which its pair was first seen, which later ties go by.
+    position at which its pair was first seen, which later ties go by. Rows at
+    the same position of different pages go by ``url``; unknown confidences lose.
     """
     order = list(order or ORDER)
     payload = [c for c in relations.columns if c not in keys and c not in order]
     rest = F.struct(*payload) if payload else F.struct(F.lit(None).alias("_none"))
-    rank = F.struct(F.col("confidence"), *[(-F.col(c)).alias(f"_{c}") for c in order])
+    worst = F.coalesce(-F.col("confidence"), F.lit(float("nan")))  # NaN sorts last
+    rank = F.struct(worst.alias("_worst"), *_positions(relations, order))
     seen = F.struct(*order)
     best = relations.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(
-        F.max_by(rest, rank).alias("_rest"), F.min(seen).alias("_seen")
+        F.min_by(rest, rank).alias("_rest"), F.min(seen).alias("_seen")
     )
     return best.select(
         *[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys) if "." not in k],
@@ -193,7 +201,8 @@ def above(relations: DataFrame, threshold: float) -> DataFrame:
 
 def ranked(relations: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Best confidence first; equals in the order they were seen."""
-    return relations.orderBy(F.desc("confidence"), *[F.asc(c) for c in (order or ORDER)])
+    places = _positions(relations, order)
+    return relations.orderBy(F.desc("confidence"), *[F.asc(c) for c in places])
 
 
 def top_relations(relations: DataFrame, threshold: float, k: int, order=None) -> DataFrame:

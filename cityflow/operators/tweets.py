@@ -46,3 +46,38 @@ def flatten_messages(messages: DataFrame) -> DataFrame:
     return messages.select(
         "ts", F.map_entries("attributes").alias("attributes"), payload_text().alias("text")
     )
+
+
+def hourly_volume(tweets: DataFrame) -> DataFrame:
+    """``hour, n`` of flat tweets; those without a time are counted under a null hour."""
+    return tweets.groupBy(F.date_trunc("hour", "ts").alias("hour")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
+def hour_of_day_volume(tweets: DataFrame) -> DataFrame:
+    """``hour_of_day, n, share`` over the 24 hours of the day; hours without tweets have no row."""
+    counted = tweets.where("ts IS NOT NULL").groupBy(F.hour("ts").alias("hour_of_day")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    total = counted.agg(F.sum("n")).scalar()
+    return counted.withColumn("share", F.round(F.col("n") / total, 9))
+
+
+def top_hashtags(tweets: DataFrame, k: int = 20) -> DataFrame:
+    """The ``k`` hashtags in most tweets, case aside; of equals the first by name.
+
+    A tag repeated within a tweet counts once.
+    """
+    tags = F.array_distinct(F.transform("hashtags", F.lower))
+    counted = tweets.select(F.explode(tags).alias("hashtag")).groupBy("hashtag").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    return counted.orderBy(F.desc("n"), "hashtag").limit(k)
+
+
+def device_counts(tweets: DataFrame) -> DataFrame:
+    """``source, n, authors``: tweets and different authors per sending device."""
+    return tweets.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("author_id_str").alias("authors")
+    )

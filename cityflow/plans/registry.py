@@ -169,6 +169,24 @@ def radio_json_decode(spark, sf_dir):
     return payloads.decode_channel_results(radio_json_out(spark, sf_dir), "value")
 
 
+@query("""SELECT CASE event_id % 7 WHEN 0 THEN 'bad json' WHEN 1 THEN 'no payload'
+  WHEN 2 THEN 'no channel' ELSE 'read' END AS fault, count(*) AS n FROM events GROUP BY ALL""")
+def radio_json_faults(spark, sf_dir):
+    """Every published result is decoded or reported with a reason: the counts add up."""
+    good = F.format_string('{"%d": {"average": [], "congestion": []}}', F.col("event_id"))
+    kind = F.col("event_id") % 7
+    sent = feeds.events(spark, sf_dir).select(
+        F.when(kind == 0, F.substring(good, 1, 9))
+        .when(kind == 1, F.lit(None))
+        .when(kind == 2, F.lit("{}"))
+        .otherwise(good)
+        .alias("value")
+    )
+    read = payloads.decode_channel_results(sent, "value").select(F.lit("read").alias("fault"))
+    faults = payloads.unreadable_channel_results(sent, "value").select("fault")
+    return faults.union(read).groupBy("fault").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _parsed(spark, sf_dir):
     timed = messages.with_event_time(
         feeds.radio_messages(feeds.events(spark, sf_dir)), "timestamp", "rfc3339"
@@ -500,6 +518,39 @@ def tweet_normalise(spark, sf_dir):
     )
 
 
+TWEETED = "make_timestamp((1556000000000 + conv_id * 60000 + turn * 1000) * 1000)"
+
+
+def _flat_tweets(spark, sf_dir):
+    raw = feeds.tweet_json(feeds.table(spark, sf_dir, "conversations"))
+    return payloads.normalise_tweets(payloads.parse_tweets(raw))
+
+
+@query(f"""SELECT date_trunc('hour', {TWEETED})::TIMESTAMP AS hour, count(*) AS n
+FROM conversations GROUP BY ALL""")
+def tweet_hourly_volume(spark, sf_dir):
+    volume = tweets.hourly_volume(_flat_tweets(spark, sf_dir))
+    return volume.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+
+
+@query(f"""SELECT hour({TWEETED})::INTEGER AS hour_of_day, count(*) AS n,
+  round(count(*)::DOUBLE / sum(count(*)) OVER (), 9) AS share FROM conversations GROUP BY 1""")
+def tweet_hour_of_day(spark, sf_dir):
+    return tweets.hour_of_day_volume(_flat_tweets(spark, sf_dir))
+
+
+@query("""SELECT CASE WHEN turn % 2 = 1 THEN 'full' ELSE lower(role) END AS hashtag, count(*) AS n
+FROM conversations GROUP BY ALL ORDER BY n DESC, hashtag LIMIT 20""")
+def tweet_top_hashtags(spark, sf_dir):
+    return tweets.top_hashtags(_flat_tweets(spark, sf_dir))
+
+
+@query("""SELECT role AS source, count(*) AS n, count(DISTINCT conv_id) AS authors
+FROM conversations GROUP BY ALL""")
+def tweet_devices(spark, sf_dir):
+    return tweets.device_counts(_flat_tweets(spark, sf_dir))
+
+
 @query("""SELECT conv_id || '-' || turn AS id_str FROM (
   SELECT conv_id, turn, -74.0 + (conv_id % 10) * 0.01::DOUBLE AS lon,
     40.78 + (turn % 10) * 0.01::DOUBLE AS lat FROM conversations)

@@ -78,7 +78,10 @@ def drop_repeats(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def drop_repeated_messages(messages: DataFrame, id_attribute: str = "id_str") -> DataFrame:
-    """Repeat removal on a message attribute; messages without one are all kept."""
-    keyed = messages.withColumn("_id", attribute(id_attribute))
-    marked = drop_repeats(keyed.filter(F.col("_id").isNotNull()), ["_id"])
-    return marked.unionByName(keyed.filter(F.col("_id").isNull())).drop("_id")
+    """Repeat removal on a message attribute; messages without one are all kept.
+
+    Those get a key of their own, so that the input is read once.
+    """
+    known = attribute(id_attribute)
+    keyed = messages.withColumn("_id", known).withColumn("_own", F.when(known.isNull(), F.uuid()))
+    return drop_repeats(keyed, ["_id", "_own"]).drop("_id", "_own")

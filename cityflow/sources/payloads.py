@@ -82,13 +82,30 @@ def tweets_to_messages(tweets: DataFrame) -> DataFrame:
     )
 
 
+def _channel_text(messages: DataFrame, data: str) -> Column:
+    dtype = dict(messages.dtypes)[data]
+    return payload_text(data) if dtype == "binary" else F.col(data)
+
+
+def unreadable_channel_results(messages: DataFrame, data: str = "data") -> DataFrame:
+    """Messages without a channel result, with the reason in ``fault``."""
+    text = _channel_text(messages, data)
+    sides = F.from_json(text, schemas.CHANNEL_JSON)
+    fault = (
+        F.when(text.isNull(), "no payload")
+        .when(sides.isNull(), "bad json")
+        .when(F.size(sides) == 0, "no channel")
+    )
+    return messages.withColumn("fault", fault).where("fault IS NOT NULL")
+
+
 def decode_channel_results(messages: DataFrame, data: str = "data") -> DataFrame:
     """Published channel JSON back to one row per frequency.
 
-    Each side contributes its first element; an empty side gives nulls.
+    Each side contributes its first element; an empty side gives nulls. Messages
+    that give no row are those of :func:`unreadable_channel_results`.
     """
-    dtype = dict(messages.dtypes)[data]
-    text = payload_text(data) if dtype == "binary" else F.col(data)
+    text = _channel_text(messages, data)
     sides = messages.select(F.explode(F.from_json(text, schemas.CHANNEL_JSON)))
     avg, cong = F.get(F.col("value.average"), 0), F.get(F.col("value.congestion"), 0)
     return sides.select(
