@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-
 def payload_text(data: Column | str = "data") -> Column:
     """Message bytes as UTF-8 text."""
     return F.decode(F.col(data) if isinstance(data, str) else data, "UTF-8")
@@ -35,8 +36,9 @@ def tail(line: Column, position: int) -> Column:
     return F.substring(line, F.lit(position), F.greatest(F.length(line), F.lit(1)))
 
 
-# Named character references resolved by `page_text`; `amp` comes last so that
-# an escaped reference such as `&amp;lt;` is resolved only once.
+# Named character references that `page_text` resolves with or without their semicolon;
+# ampersands come last, however they are written, so that an escaped reference such as
+# `&amp;lt;` or `&#38;lt;` is resolved only once.
 NAMED_REFERENCES = (
     ("nbsp", " "),
     ("lt", "<"),
@@ -56,6 +58,8 @@ NAMED_REFERENCES = (
     ("amp", "&"),
 )
 
+AMPERSAND = r"&(amp;?|#0{0,5}38;|#[xX]0{0,4}26;)"
+
 MARKUP = (
     r"(?is)<!--.*?(-->|\z)",
     r"(?is)<script\b[^>]*>.*?(</script\s*>|\z)",
@@ -73,7 +77,7 @@ def _numeric_references(text: Column) -> Column:
         code = F.coalesce(
             digits.try_cast("long"), F.conv(F.nullif(hexits, F.lit("")), 16, 10).try_cast("long")
         )
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        valid = (code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)) & (code != ord("&"))
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         rest = F.regexp_replace(piece, r"^&#[0-9a-fA-FxX]{1,7};", "")
         return F.when(valid, F.concat(char, rest)).otherwise(piece)
@@ -82,12 +86,31 @@ def _numeric_references(text: Column) -> Column:
     return F.when(text.contains("&#"), F.array_join(pieces, "")).otherwise(text)
 
 
+def _other_names(text: Column) -> Column:
+    """Resolve the names of the public entity table that are not in ``NAMED_REFERENCES``."""
+    done = {name for name, _ in NAMED_REFERENCES}
+    rest = {n: chr(c) for n, c in sorted(name2codepoint.items()) if n not in done}
+    known = F.create_map(*[F.lit(x) for pair in rest.items() for x in pair])
+    name = r"^&([A-Za-z][A-Za-z0-9]{0,31});"
+
+    def resolve(piece: Column) -> Column:
+        char = F.try_element_at(known, F.regexp_extract(piece, name, 1))
+        return F.coalesce(F.concat(char, F.regexp_replace(piece, name, "")), piece)
+
+    pieces = F.transform(F.split(text, r"(?=&[A-Za-z])"), resolve)
+    # most pages hold nothing but the common names
+    common = "|".join(sorted(done))
+    asked = text.rlike(rf"&(?!(?:{common});)[A-Za-z][A-Za-z0-9]*;")
+    return F.when(asked, F.array_join(pieces, "")).otherwise(text)
+
+
 def page_text(html: Column) -> Column:
     """Plain text of a whole page: markup out, references resolved, blanks collapsed."""
     out = html
     for pattern in MARKUP:
         out = F.regexp_replace(out, pattern, " ")
-    out = _numeric_references(out)
-    for name, char in NAMED_REFERENCES:
+    out = _other_names(_numeric_references(out))
+    for name, char in NAMED_REFERENCES[:-1]:
         out = F.regexp_replace(out, f"&{name};?", char)
+    out = F.regexp_replace(out, AMPERSAND, "&")
     return F.trim(F.regexp_replace(out, r"[ \t\r\n]+", " "))

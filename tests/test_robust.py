@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from cityflow.functions.text import page_text
 from cityflow.operators import cluster
 from cityflow.operators import relations as rel
 from cityflow.options import WEATHER_FEATURES
@@ -58,3 +59,13 @@ def test_too_few_medoids_is_an_error(spark):
     frame = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0), (5.0, 5.0)] * 3, "x DOUBLE, y DOUBLE")
     with pytest.raises(ValueError, match="not 7"):
         cluster.fit_medoids(frame, k=7, columns=["x", "y"])
+
+
+@pytest.mark.parametrize("html, expected", [
+    ("caf&eacute; 3&times;4 &rarr; &alpha;", "café 3×4 → α"),
+    ("&#38;lt;b&#x26;gt; &amp;eacute; &#38;#233;", "&lt;b&gt; &eacute; &#233;"),
+    ("R&D; &nosuch; &copy2020 &notit;", "R&D; &nosuch; ©2020 &notit;"),
+])
+def test_references_are_resolved_once(spark, html, expected):
+    frame = spark.createDataFrame([(html,)], "h STRING")
+    assert frame.select(page_text(F.col("h"))).first()[0] == expected
