@@ -108,3 +108,34 @@ def test_plan_meets_the_wanted_recall():
     spots = neighbours.directions(64, neighbours.LINES, 3)
     counted = (np.abs((a - b) @ spots) <= plan.width).sum(axis=1) >= plan.count
     assert (met & counted).mean() > 0.97
+
+
+def planted(rng, words, share):
+    """The words with a share of them changed."""
+    return [f"new{rng.getrandbits(40)}" if rng.random() < share else w for w in words]
+
+
+def five_words(text):
+    words = bytes(text, "utf-8").lower().split()
+    return {b" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+@pytest.mark.parametrize("limit", [256, 8])
+def test_corpus_keeps_no_near_copy(spark, documents, limit, monkeypatch):
+    monkeypatch.setattr(simhash.set_links, "__defaults__", (limit,))
+    rng = random.Random(limit)
+    texts = []
+    for _ in range(60):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([9, 12, 60, 300, 900]))]
+        texts.append(" ".join(words))
+        for share in (0.005, 0.01, 0.02, 0.03, 0.05):
+            texts.append(" ".join(planted(rng, words, share)))
+    hub = [f"h{k}" for k in range(400)]  # a large group of near copies
+    texts += [" ".join(planted(rng, hub, 0.01)) for _ in range(60)] + ["eight words and then one more for size"]
+    texts += [texts[-1] + " longer", "four words only here", "FOUR words\nonly here", "other four words here"]
+    sets = [five_words(t) for t in texts]
+    n = range(len(texts))
+    edges = [(a, b) for a in n for b in range(a) if 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])]
+    want = smallest_reachable(n, edges)
+    kept = sorted(r.doc_id for r in simhash.one_of_each(documents(*enumerate(texts))).collect())
+    assert kept == [i for i in n if want[i] == i]
