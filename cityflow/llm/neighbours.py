@@ -1,8 +1,9 @@
 """Embedding near-dedup by collision-counting projections.
 
-Vectors are projected on many random lines. Sorted along a line, a vector's
-window holds those whose projection lies within ``width`` of its own; a pair
-that shares windows on enough lines is verified by its cosine. For a pair at the
+Vectors are projected on many random lines. On a line, a vector's window holds
+those whose projection lies within ``width`` of its own; a pair that shares
+windows on enough lines is verified by its cosine. Any line may miss: the one
+that orders a cell is looked along twice as far. For a pair at the
 threshold the number of shared windows is binomial, so the least count is
 chosen from the wanted recall.
 
@@ -41,13 +42,18 @@ def in_cell(distance: float, width: float) -> float:
 
 @dataclass(frozen=True)
 class Plan:
-    """Lines per cell, tables, window width and least count for ``n`` vectors."""
+    """Lines per cell, tables, window width and least count for ``n`` vectors.
+
+    ``reach`` is the window of the line that orders a cell: 1 in 15,000 pairs at
+    the threshold lies further apart. ``width`` holds for the count over all lines.
+    """
 
     per_cell: int
     tables: int
     interval: float
     width: float
     count: int
+    reach: float
 
     @staticmethod
     def of(n: int, cosine: float, recall: float = 0.995, mates: float = 8.0, interval: float = 2.0) -> Plan:
@@ -64,7 +70,7 @@ class Plan:
             if chance > (1 - recall) / 10:
                 break
             count += 1
-        return Plan(per_cell, tables, interval, width, count)
+        return Plan(per_cell, tables, interval, width, count, 4 * near)
 
 
 def directions(size: int, columns: int, label: int) -> np.ndarray:
@@ -160,7 +166,7 @@ def links(classes: DataFrame, plan: Plan, cosine: float, limit: int = 4096) -> D
         )
         total = np.zeros(len(rep), dtype=np.int64)
         labels = np.arange(len(rep))
-        for left, right in windows(group, spots[:, 0], plan.width):
+        for left, right in windows(group, spots[:, 0], plan.reach):
             keep = ~cross[left] | (side[left] != side[right])
             left, right = left[keep], right[keep]
             shared = (np.abs(spots[left] - spots[right]) <= plan.width).sum(axis=1)

@@ -110,6 +110,21 @@ def test_plan_meets_the_wanted_recall():
     assert (met & counted).mean() > 0.97
 
 
+@pytest.mark.parametrize("size", [64, 256])
+def test_links_find_pairs_at_the_threshold(spark, size):
+    rng = np.random.default_rng(size)
+    a = neighbours.unit(rng.standard_normal((3000, size)))
+    other = rng.standard_normal(a.shape)
+    other -= (other * a).sum(1, keepdims=True) * a
+    cosine = 0.9 + 1e-6
+    b = cosine * a + np.sqrt(1 - cosine**2) * neighbours.unit(other)
+    rows = [(i, 1, v.tolist()) for i, v in enumerate(np.concatenate([a, b]))]
+    classes = spark.createDataFrame(rows, "rep long, copies long, v array<double>")
+    found = neighbours.links(classes, neighbours.Plan.of(len(rows), 0.9), 0.9)
+    links = found.groupBy("rep").sum("n").count()
+    assert links / len(rows) > 0.988
+
+
 def planted(rng, words, share):
     """The words with a share of them changed."""
     return [f"new{rng.getrandbits(40)}" if rng.random() < share else w for w in words]
