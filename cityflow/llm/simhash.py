@@ -292,9 +292,10 @@ def one_of_each(docs: DataFrame, width: int = 5, jaccard: float = 0.8) -> DataFr
     """``docs`` with one row of each near-duplicate group: that of the smallest doc_id.
 
     Texts link if the sets of their word shingles have a Jaccard similarity of
-    ``jaccard`` or more. Rows that repeat that id leave one row, the first by
-    text. Columns are unchanged; rows of null doc_id stay (they can't be told
-    apart by id).
+    ``jaccard`` or more. Rows of a group that repeat that id leave one row, the
+    first by a hash of the text; one id with texts of several groups leaves one
+    row in each. Columns are unchanged; rows of null doc_id stay (they can't be
+    told apart by id).
     """
 
     def make():
@@ -310,18 +311,14 @@ def one_of_each(docs: DataFrame, width: int = 5, jaccard: float = 0.8) -> DataFr
     signs = settle(map_texts(hashed, make, schema, ("doc_id", "text", "th")), "shingle-signs")
     parts = components(set_links(docs, signs, width, jaccard))
     named = (
-        signs.select("doc_id", "node").join(parts.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
-        .select("doc_id", F.coalesce("component", "node").alias("part"))
+        signs.join(parts.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
+        .select("doc_id", "th", F.coalesce("component", "node").alias("part"))
     )
-    smallest = named.groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    found = named.join(smallest, "part")
-    kept = found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n"))
+    # ids are not keys: a kept row is known by id and text
+    kept = named.where("doc_id IS NOT NULL").groupBy("part").agg(F.min(F.struct("doc_id", "th")).alias("first"))
     # the columns travel packed, so that none can clash with a name used here
-    packed = docs.select("doc_id", F.struct(*docs.columns).alias("row"))
-    rows = packed.join(kept, "doc_id")
-    single = rows.where("n = 1").select("row")
-    several = rows.where("n > 1").groupBy("doc_id").agg(
-        F.min_by("row", F.struct(F.col("row.text"), F.xxhash64("row"))).alias("row")
-    ).select("row")
+    packed = docs.select("doc_id", F.xxhash64("text").alias("th"), F.struct(*docs.columns).alias("row"))
+    rows = packed.join(kept.select("first.*"), ["doc_id", "th"])
+    one = rows.groupBy("doc_id", "th").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
     unknown = packed.where(F.col("doc_id").isNull()).select("row")
-    return single.union(several).union(unknown).select("row.*")
+    return one.union(unknown).select("row.*")

@@ -154,3 +154,11 @@ def test_corpus_keeps_no_near_copy(spark, documents, limit, monkeypatch):
     want = smallest_reachable(n, edges)
     kept = sorted(r.doc_id for r in simhash.one_of_each(documents(*enumerate(texts))).collect())
     assert kept == [i for i in n if want[i] == i]
+
+
+def test_one_id_with_texts_of_several_groups(spark, documents):
+    one, two, three = (" ".join(f"{c}{k}" for k in range(60)) for c in "xyz")
+    # 1 is the smallest id of two groups; the third has 0 and 1
+    rows = documents((1, one), (1, two), (2, one + " more"), (3, two + " more"), (0, three), (1, three + " more"), (1, one))
+    kept = sorted((r.doc_id, r.text[0]) for r in simhash.one_of_each(rows).collect())
+    assert kept == [(0, "z"), (1, "x"), (1, "y")]
