@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityflow.llm.common import map_texts
+from cityflow.session import settle
 
 #: Letters and digits make a word; case and punctuation don't count.
 TOKEN = re.compile(r"[^\W_]+")
@@ -90,8 +91,12 @@ class Search:
 
 
 def blocks(spark: SparkSession, items: DataFrame):
-    """The items as broadcasts of bounded size: ``BLOCK_ITEMS`` rows or ``BLOCK_CHARS`` on average."""
+    """The items as broadcasts ``item_id, text, copies`` of ``BLOCK_ITEMS`` rows or ``BLOCK_CHARS`` on average.
+
+    Equal rows are one row with their number, so a block does not grow with repeats.
+    """
     known = items.select("item_id", "text").where("text IS NOT NULL")
+    known = settle(known.groupBy("item_id", "text").agg(F.count(F.lit(1)).alias("copies")), "benchmark-items")
     n, chars = known.agg(F.count("*"), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     parts = max(1, -(-n // BLOCK_ITEMS), -(-chars // BLOCK_CHARS))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
@@ -116,10 +121,12 @@ def matches(
     for rows in blocks(docs.sparkSession, items):
 
         def make(rows=rows):
-            search = Search(rows.value, width, share)
+            search = Search([((i, n), t) for i, t, n in rows.value], width, share)
 
             def work(ids, texts):
-                hits = [(d, *m) for d, t in zip(ids, texts) for m in search(t)]
+                hits = [
+                    (d, i, *m) for d, t in zip(ids, texts) for (i, n), *m in search(t) for _ in range(n)
+                ]
                 d, i, n, s = (list(x) for x in zip(*hits)) if hits else ([], [], [], [])
                 share_of = [b / a for a, b in zip(n, s)]
                 return {"doc_id": d, "item_id": i, "n_item": n, "n_shared": s, "containment": share_of}
@@ -147,7 +154,7 @@ def holds_any(rows, width: int, share: float):
     @F.pandas_udf("boolean")
     def leaks(texts: pd.Series) -> pd.Series:
         if not searches:
-            searches.append(Search(rows.value, width, share))
+            searches.append(Search([(i, t) for i, t, _ in rows.value], width, share))
         return texts.map(lambda t: bool(searches[0](t))).astype(bool)
 
     return leaks

@@ -101,6 +101,16 @@ def test_blocks_of_items_find_the_same(spark, documents, monkeypatch):
     assert sorted(map(tuple, decontaminate.matches(docs, items).collect())) == whole and len(whole) == 30
 
 
+def test_equal_items_are_one_row_of_a_block(spark, documents, monkeypatch):
+    docs = documents((1, "x a b c d e f"), (2, "nothing of it in here at all"))
+    items = spark.createDataFrame([(7, "a b c d e f")] * 20 + [(k, f"other item number {k} of it") for k in range(20)], "item_id long, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 10)
+    assert max(len(b.value) for b in decontaminate.blocks(spark, items)) < 20
+    got = decontaminate.matches(docs, items).collect()
+    assert [(r.doc_id, r.item_id, r.n_item) for r in got] == [(1, 7, 2)] * 20
+    assert [r.doc_id for r in decontaminate.clean(docs, items).collect()] == [2]
+
+
 ODD_TEXTS = ["", "a", "  a", " a", "a ", "a  b", "a\n b", "it's <|endoftext|> ok", "don't, we'll...what?!", "12,34 5,6!", "a\t b",
              "ñ, é. ß!", "日本 語", "\n\n a \n", "word,'s", "o'clock's", None, "€5,00 ok", "ABC!'s", "x\x1c y\x85 z", "ª, º", "ab́c, d"]
 
