@@ -43,6 +43,7 @@ BANDS, BAND = 28, 6
 REACH = 25
 #: Sets in one block of comparisons; a group holds two blocks with all their shingles.
 SET_ROWS = 256
+STEP = 512
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -276,13 +277,19 @@ def set_links(docs: DataFrame, signs: DataFrame, width: int, jaccard: float, lim
         order = order[apart[order] <= REACH]
         labels = np.arange(len(node))
         out = []
-        for a, b in zip(left[order].tolist(), right[order].tolist()):
-            if labels[a] == labels[b]:
-                continue
-            shared = len(np.intersect1d(held[a], held[b], assume_unique=True))
-            if shared >= jaccard * (size[a] + size[b] - shared) - 1e-9:
-                labels[labels == labels[b]] = labels[a]
-                out.append((node[a], node[b]))
+        left, right = left[order], right[order]
+        while len(left):
+            # what is connected by now leaves before each bounded step
+            apart = labels[left] != labels[right]
+            left, right = left[apart], right[apart]
+            for a, b in zip(left[:STEP].tolist(), right[:STEP].tolist()):
+                if labels[a] == labels[b]:
+                    continue
+                shared = len(np.intersect1d(held[a], held[b], assume_unique=True))
+                if shared >= jaccard * (size[a] + size[b] - shared) - 1e-9:
+                    labels[labels == labels[b]] = labels[a]
+                    out.append((node[a], node[b]))
+            left, right = left[STEP:], right[STEP:]
         return out
 
     return arranged(placed_sets.join(sets, "node")).mapInArrow(compare, "u long, v long")
