@@ -46,9 +46,3 @@ def message(spark):
         return out
 
     return build
-
-
-def rows(df, *columns):
-    """Rows as plain tuples, sorted by their text."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cityflow.operators import enrich
-from conftest import rows
+from frames import rows
 
 
 @pytest.fixture

@@ -11,7 +11,7 @@ from cityflow.options import FEATURES, Bounds, Hop, MedoidModel, NormalizerBound
 from cityflow.plans import dataflows
 from cityflow.sources.messages import read_messages
 from cityflow.streaming.writers import drain, early_results
-from conftest import rows
+from frames import rows
 
 EPOCH = datetime(1970, 1, 1)
 

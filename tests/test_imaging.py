@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cityflow.operators import imaging, spectral
 from cityflow.plans.dataflows import score_image_folder
 from cityflow.sources.images import read_images
-from conftest import rows
+from frames import rows
 from test_sources import png
 
 

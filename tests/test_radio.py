@@ -12,7 +12,7 @@ from cityflow.sources.messages import read_messages, with_event_time
 from cityflow.sources.payloads import decode_channel_results
 from cityflow.sources.sinks import radio_table_rows
 from cityflow.streaming.writers import drain
-from conftest import rows
+from frames import rows
 
 
 def samples(spark, *values):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from cityflow import schemas
 from cityflow.operators import relations as rel
 from cityflow.plans.set_expansion import expand, search_pages
-from conftest import rows
+from frames import rows
 
 
 def sentence(url, sent_id, words, entities, found, page=0):

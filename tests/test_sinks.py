@@ -8,7 +8,7 @@ from cityflow import schemas
 from cityflow.session import run_dir, shared_dir
 from cityflow.sources import sinks
 from cityflow.streaming import writers
-from conftest import rows
+from frames import rows
 
 
 def stream(spark, tmp_path, name="in"):

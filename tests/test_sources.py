@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cityflow.functions.text import attribute, payload_text
 from cityflow.operators import tweets
 from cityflow.sources import annotations, archives, images, messages, payloads
-from conftest import rows
+from frames import rows
 
 
 def lines(spark, *values):

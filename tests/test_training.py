@@ -2,7 +2,7 @@ import pytest
 
 from cityflow.operators import imaging, training
 from cityflow.plans import dataflows
-from conftest import rows
+from frames import rows
 
 
 @pytest.fixture
