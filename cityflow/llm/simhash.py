@@ -11,12 +11,6 @@ The pairs looked at come from keys that lose none: of ``radius + 1`` blocks of
 bits one must be equal, and within it the distance to the first pivot must lie
 in the same or in the next bin. The second pivot orders a group, so that only a
 window of it is looked at.
-
-The corpus stage (``one_of_each``) owes more: five-word shingles and a Jaccard
-similarity of 0.8. Such pairs differ in about ten bits and in up to ``REACH``,
-where blocks and pivots separate nothing. Its pairs come from keys of least
-hashes instead; fingerprints of the shingle sets filter and order them, and
-every link is verified on the sets.
 """
 
 from __future__ import annotations
@@ -37,13 +31,6 @@ from cityflow.session import settle
 SEED = 42
 PIVOTS = 16
 CHUNK = 1 << 16
-#: Of sets with Jaccard 0.8 all but 1 in 5,000 share one of BANDS keys of BAND least hashes each.
-BANDS, BAND = 28, 6
-#: Bits by which fingerprints of sets with Jaccard 0.8 differ at most, but for 1 in 10,000.
-REACH = 25
-#: Sets in one block of comparisons; a group holds two blocks with all their shingles.
-SET_ROWS = 256
-STEP = 512
 
 
 def pivots(n: int = PIVOTS) -> np.ndarray:
@@ -181,151 +168,31 @@ def near_duplicates(
     )
 
 
-def shingle_set(text: str | None, width: int) -> np.ndarray:
-    """Sorted distinct hashes of a whole text's word shingles; words as in ``fingerprint``."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    if len(words) < width:
-        words = [b" ".join(words)]
-        width = 1
-    shingles = map(b" ".join, zip(*(words[k:] for k in range(width))))
-    digests = b"".join(map(xxhash.xxh64_digest, shingles, repeat(SEED)))
-    return np.unique(np.frombuffer(digests, dtype=">u8").astype(np.uint64))
-
-
-def set_print(found: np.ndarray) -> int:
-    """The 64-bit fingerprint of a set of shingle hashes."""
-    ones = np.zeros(64, dtype=np.int64)
-    for start in range(0, len(found), CHUNK):
-        part = found[start : start + CHUNK].astype(">u8").view(np.uint8)
-        ones += np.unpackbits(part).reshape(-1, 64).sum(axis=0, dtype=np.int32)
-    return int.from_bytes(np.packbits(ones * 2 > len(found)).tobytes(), "big")
-
-
-def bands(found: np.ndarray) -> list[int]:
-    """Keys of a set: two sets of Jaccard j share each with chance j ** BAND."""
-    if not len(found):
-        return []
-    rng = np.random.default_rng(SEED)
-    factor, shift = rng.integers(0, 1 << 64, (2, BANDS, BAND, 1), dtype=np.uint64)
-    factor |= np.uint64(1)
-    keys = []
-    for k in range(BANDS):
-        least = np.full(BAND, ~np.uint64(0))
-        for start in range(0, len(found), CHUNK):
-            least = np.minimum(least, (found[start : start + CHUNK] * factor[k] + shift[k]).min(axis=1))
-        keys.append(xxhash.xxh64_intdigest(least.tobytes(), k))
-    return np.array(keys, dtype=np.uint64).view(np.int64).tolist()
-
+def one_of_each(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
+    """``docs`` with one row of each group of linked fingerprints: that of the smallest doc_id.
 
-def set_links(docs: DataFrame, signs: DataFrame, width: int, jaccard: float, limit: int = SET_ROWS) -> DataFrame:
-    """Links ``u, v`` between distinct shingle sets (``node`` of ``signs``) of ``jaccard`` or more.
-
-    They connect all sets that such pairs found by the bands connect. Sets that
-    meet in a band are put into one part; only there texts are read again, and
-    pairs within ``REACH`` bits are compared exactly, the nearest first, leaving
-    out those connected already.
-    """
-    placed = signs.select("node", F.explode("bands").alias("band")).distinct()
-    hubs = placed.groupBy("band").agg(F.min("node").alias("hub"))
-    below = components(placed.join(hubs, "band").select("node", "hub"))
-    # a part's smallest node hangs on none
-    parts = below.union(below.select("component", "component").distinct())
-    members = settle(signs.groupBy("node").agg(F.min("th").alias("th")).join(parts, "node"), "set-parts")
-    # equal texts are read once; sets that meet no other are not read at all
-    texts = (
-        docs.select("text", F.xxhash64("text").alias("th")).join(members.select("th", "node"), "th")
-        .groupBy("node").agg(F.min("text").alias("text"))
-    )
-
-    def make():
-        def work(nodes, texts):
-            found = [shingle_set(t, width) for t in texts]
-            prints = np.array([set_print(f) for f in found], dtype=np.uint64)
-            return {"node": nodes, "fp": prints.view(np.int64), "held": [f.tobytes() for f in found]}
-
-        return work
-
-    sets = map_texts(texts, make, "node long, fp long, held binary", ("node", "text"))
-    placed_sets = spread(members.select("node", "component"), "component", "node", limit)
-
-    def compare(batches):
-        for part in whole_groups(batches, rows=limit):
-            group = part.column("group").to_numpy()
-            edges = np.flatnonzero(np.diff(group)) + 1
-            u, v = [], []
-            for start, stop in zip([0, *edges], [*edges, len(group)]):
-                found = compare_group(part.slice(start, stop - start))
-                u += [a for a, _ in found]
-                v += [b for _, b in found]
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-    def compare_group(part):
-        node = part.column("node").to_numpy()
-        fp = part.column("fp").to_numpy().view(np.uint64)
-        side = part.column("side").to_numpy()
-        cross = part.column("cross").to_numpy(zero_copy_only=False)
-        held = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in part.column("held")]
-        size = np.array([len(h) for h in held])
-        left, right = np.triu_indices(len(node), 1)
-        keep = ~cross[left] | (side[left] != side[right])
-        keep &= np.minimum(size[left], size[right]) >= jaccard * np.maximum(size[left], size[right]) - 1e-9
-        left, right = left[keep], right[keep]
-        apart = np.bitwise_count(fp[left] ^ fp[right])
-        order = np.argsort(apart, kind="stable")
-        order = order[apart[order] <= REACH]
-        labels = np.arange(len(node))
-        out = []
-        left, right = left[order], right[order]
-        while len(left):
-            # what is connected by now leaves before each bounded step
-            apart = labels[left] != labels[right]
-            left, right = left[apart], right[apart]
-            for a, b in zip(left[:STEP].tolist(), right[:STEP].tolist()):
-                if labels[a] == labels[b]:
-                    continue
-                shared = len(np.intersect1d(held[a], held[b], assume_unique=True))
-                if shared >= jaccard * (size[a] + size[b] - shared) - 1e-9:
-                    labels[labels == labels[b]] = labels[a]
-                    out.append((node[a], node[b]))
-            left, right = left[STEP:], right[STEP:]
-        return out
-
-    return arranged(placed_sets.join(sets, "node")).mapInArrow(compare, "u long, v long")
-
-
-def one_of_each(docs: DataFrame, width: int = 5, jaccard: float = 0.8) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: that of the smallest doc_id.
-
-    Texts link if the sets of their word shingles have a Jaccard similarity of
-    ``jaccard`` or more. Rows of a group that repeat that id leave one row, the
-    first by a hash of the text; one id with texts of several groups leaves one
-    row in each. Columns are unchanged; rows of null doc_id stay (they can't be
-    told apart by id).
+    Unknown ids come last, equal ids are ordered by a hash of the text; so a
+    group of nothing but null ids keeps one row too, repeated rows leave one,
+    and one id with texts of several groups keeps a row in each. Null, empty and
+    blank texts share fingerprint zero and are one group. Long texts count
+    whole. Columns are unchanged; an empty table stays empty.
     """
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
 
     def make():
         def work(ids, texts, hashes):
-            found = [shingle_set(t, width) for t in texts]
-            nodes = np.array([xxhash.xxh64_intdigest(f.tobytes(), SEED) for f in found], dtype=np.uint64)
-            return {"doc_id": ids, "th": hashes, "node": nodes.view(np.int64), "bands": [bands(f) for f in found]}
+            prints = np.array([fingerprint(t, width) for t in texts], dtype=np.uint64)
+            return {"doc_id": ids, "th": hashes, "fp": prints.view(np.int64)}
 
         return work
 
-    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
-    schema = "doc_id long, th long, node long, bands array<long>"
-    signs = settle(map_texts(hashed, make, schema, ("doc_id", "text", "th")), "shingle-signs")
-    parts = components(set_links(docs, signs, width, jaccard))
-    named = (
-        signs.join(parts.withColumnRenamed("node", "linked"), F.col("node") == F.col("linked"), "left")
-        .select("doc_id", "th", F.coalesce("component", "node").alias("part"))
-    )
-    # ids are not keys: a kept row is known by id and text
-    kept = named.where("doc_id IS NOT NULL").groupBy("part").agg(F.min(F.struct("doc_id", "th")).alias("first"))
-    # the columns travel packed, so that none can clash with a name used here
+    signs = settle(map_texts(texts, make, "doc_id long, th long, fp long", ("doc_id", "text", "th")), "signs")
+    classes = signs.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "th")).alias("first"))
+    parts = components(links(classes.select("fp"), radius))
+    named = classes.join(parts, classes["fp"] == parts["node"], "left")
+    kept = named.groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("first"))
+    # ids are not keys: a kept row is known by id and text; columns travel packed, so that no name can clash
     packed = docs.select("doc_id", F.xxhash64("text").alias("th"), F.struct(*docs.columns).alias("row"))
-    rows = packed.join(kept.select("first.*"), ["doc_id", "th"])
-    one = rows.groupBy("doc_id", "th").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row")
-    unknown = packed.where(F.col("doc_id").isNull()).select("row")
-    return one.union(unknown).select("row.*")
+    kept = kept.select(F.col("first.doc_id").alias("kept_id"), F.col("first.th").alias("kept_th"))
+    rows = packed.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("th") == F.col("kept_th")))
+    return rows.groupBy("doc_id", "th").agg(F.min_by("row", F.xxhash64("row")).alias("row")).select("row.*")
