@@ -20,8 +20,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints."""
-    return simhash.one_of_each(docs)
+    """One document of each group of fingerprints: three-word shingles, two bits, as the operator's contract has it."""
+    return simhash.one_of_each(docs, width=3, radius=2)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
