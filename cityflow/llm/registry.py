@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cityflow.llm import (
     decontaminate,
+    infill,
     language,
     mixing,
     neighbours,
@@ -65,12 +66,16 @@ def op10_toxicity_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, net).withColumn("held_out", held_out())
 
 
+def op11_infill_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_source_mix, op2_language_codes, op3_benchmark_containment, op4_quality_additive,
         op5_pii_anchors, op6_secret_ledger, op7_token_orc, op8_embedding_collisions,
-        op9_simhash_pivots, op10_toxicity_network,
+        op9_simhash_pivots, op10_toxicity_network, op11_infill_chunks,
     )
 }
 
@@ -78,4 +83,5 @@ ORACLES = {
     "op1_source_mix": "WITH" + mixing.REPORT_SQL.format(docs="documents") + "SELECT * FROM report",
     "op3_benchmark_containment": decontaminate.MATCHES_SQL,
     "op6_secret_ledger": secret_scan.DIGEST_SQL,
+    "op11_infill_chunks": infill.DIGEST_SQL,
 }
