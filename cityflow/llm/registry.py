@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cityflow.llm import (
     decontaminate,
+    divergence,
+    fertility,
     infill,
     language,
     mixing,
@@ -70,12 +72,21 @@ def op11_infill_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.digest(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.judge(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_source_mix, op2_language_codes, op3_benchmark_containment, op4_quality_additive,
         op5_pii_anchors, op6_secret_ledger, op7_token_orc, op8_embedding_collisions,
         op9_simhash_pivots, op10_toxicity_network, op11_infill_chunks,
+        op12_source_divergence, op13_fertility_rules,
     )
 }
 
@@ -84,4 +95,5 @@ ORACLES = {
     "op3_benchmark_containment": decontaminate.MATCHES_SQL,
     "op6_secret_ledger": secret_scan.DIGEST_SQL,
     "op11_infill_chunks": infill.DIGEST_SQL,
+    "op12_source_divergence": divergence.AUDIT_SQL,
 }
