@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cityflow.llm import decontaminate, infill, language, mixing, neighbours, pii, quality, secret_scan, simhash, token_files, toxicity
+from cityflow.llm import decontaminate, fertility, infill, language, mixing, neighbours, pii, quality, secret_scan, simhash, token_files, toxicity
 
 
 @pytest.fixture
@@ -26,6 +26,7 @@ OPERATORS = {
     "pii": lambda d, lab, it: pii.scan(d),
     "secrets": lambda d, lab, it: secret_scan.digest(d),
     "tokens": lambda d, lab, it: token_files.write_and_digest(d),
+    "fertility": lambda d, lab, it: fertility.judge(d),
     "infill": lambda d, lab, it: infill.digest(d),
     "simhash": lambda d, lab, it: simhash.near_duplicates(d),
     "toxicity": lambda d, lab, it: toxicity.score(d, toxicity.learn(d, lab)),
