@@ -66,6 +66,27 @@ def enrich(
     return found.filter(present).drop("_found", "_salt")
 
 
+NO_RECORD = "no record"
+
+
+def enrich_or_fault(stream: DataFrame, lookup: DataFrame, key: str, salt: int = 1) -> DataFrame:
+    """Every row of the stream with its record, or with ``fault`` set where there is none.
+
+    Works on batches and streams (the lookup is a batch frame). A null key has no
+    record. Repeated lookup keys are an error; ``salt`` as in :func:`enrich`.
+    """
+    records = unique_lookup(lookup, key).withColumn("_found", F.lit(True))
+    left, keys = stream, [key]
+    if salt > 1:
+        keys = [key, "_salt"]
+        left = stream.withColumn("_salt", F.floor(F.rand(7) * salt).cast("int"))
+        records = records.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    fault = F.when(F.col("_found").isNull(), F.lit(NO_RECORD)).alias("fault")
+    joined = left.join(records, keys, "left")
+    kept = [c for c in joined.columns if c not in ("_found", "_salt")]
+    return joined.select(*kept, fault)
+
+
 def filter_after_join(
     stream: DataFrame, lookup: DataFrame, key: str, value: str,
     before: float, after: float, max_level: int = MAX_LEVEL, **options,

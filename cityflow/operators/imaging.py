@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cityflow.operators.slices import lay_out
+
 # Offset (row, column), height and width of the crop, and the model's input size.
 CROP = (80, 80, 160, 220)
 INPUT_SIZE = (160, 160)
@@ -103,9 +105,7 @@ def sorted_slice(
     df: DataFrame, keys: list[str], first: int | None = None, last: int | None = None
 ) -> DataFrame:
     """Rows ``first`` to ``last`` (exclusive) in the order of ``keys``; an open end means all."""
-    first = first or 0
-    rows = df.orderBy(*keys).offset(first)
-    return rows if last is None else rows.limit(max(0, last - first))
+    return lay_out(df, keys).slice(first, last)
 
 
 def label_value(vehicles="vehicles", people="people"):

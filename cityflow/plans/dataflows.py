@@ -117,23 +117,34 @@ def tweet_window_counts(
     return tumbling_counts(drop_repeated_messages(timed), tumble)
 
 
+def image_slice(
+    spark: SparkSession, path: str, first: int | None = None, last: int | None = None,
+    pattern: str = images.IMAGE_FILES,
+) -> list[str]:
+    """Paths of a folder's image files from place ``first`` to ``last`` in order of name.
+
+    The listing is sorted and sliced by Spark; what comes to the driver are the
+    chosen paths, no more than the reader's own file index holds.
+    """
+    listing = images.read_manifest(spark, path, pattern, recursive=False)
+    named = listing.select(images.file_name(F.col("path")).alias("name"), "path")
+    return [r.path for r in imaging.sorted_slice(named, ["name"], first, last).select("path").collect()]
+
+
 def score_image_folder(
     spark: SparkSession, path: str, load_model, first: int | None = None, last: int | None = None,
     **options,
 ) -> DataFrame:
-    """Images of a folder, optionally a slice in name order, to ``localdatetime, predict``.
+    """Images of a folder, optionally a slice in name order, to ``localdatetime, predict, fault``.
 
     The slice is taken on the listing of the folder's image files, in order of
-    name; either end may be open.
+    name; either end may be open. Only the chosen files are opened. A file that
+    cannot be decoded keeps its row, without a score and with the fault.
     """
-    frames = images.read_images(spark, path, images.IMAGE_FILES)
-    if first is not None or last is not None:
-        listing = images.read_manifest(spark, path, images.IMAGE_FILES, recursive=False)
-        names = listing.select(images.file_name(F.col("path")).alias("name"))
-        chosen = imaging.sorted_slice(names, ["name"], first, last)
-        named = frames.withColumn("name", images.file_name(F.col("image.origin")))
-        frames = named.join(chosen, "name", "left_semi")
-    scored = imaging.score_images(frames, load_model, **options)
-    return scored.select(
-        images.image_stamp(images.file_name(F.col("origin"))).alias("localdatetime"), "predict"
+    frames = images.read_images_checked(spark, image_slice(spark, path, first, last))
+    scored = imaging.score_images(frames.where("fault IS NULL"), load_model, **options)
+    failed = frames.where("fault IS NOT NULL").select("image.origin", F.lit(None).cast("double"), "fault")
+    stamp = images.image_stamp(images.file_name(F.col("origin"))).alias("localdatetime")
+    return scored.withColumn("fault", F.lit(None).cast("string")).union(failed).select(
+        stamp, "predict", "fault"
     )

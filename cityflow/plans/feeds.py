@@ -7,6 +7,12 @@ so its size follows the table's.
 
 from __future__ import annotations
 
+import re
+import struct
+import zlib
+
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -362,6 +368,43 @@ def tiny_images(vectors: DataFrame) -> DataFrame:
     )
 
 
+def png_bytes(grey: bytes, side: int = IMAGE_SIDE) -> bytes:
+    """A square grey image as a PNG file."""
+    lines = b"".join(b"\0" + grey[r * side : (r + 1) * side] for r in range(side))
+
+    def part(kind: bytes, body: bytes) -> bytes:
+        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+
+    head = struct.pack(">IIBBBBB", side, side, 8, 0, 0, 0, 0)
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", zlib.compress(lines)) + part(b"IEND", b"")
+
+
+def write_image_folder(vectors: DataFrame, out: str) -> str:
+    """A PNG file per vector below ``out``, named by camera and number; returns ``out``.
+
+    Tasks write their own files; of every hundred ids the first is no image. The
+    folder must be reachable from all executors, as the shared folder is.
+    """
+    named = tiny_images(vectors).select(
+        F.concat(F.lit("689-"), F.lpad(F.col("vec_id").cast("string"), 16, "0"), F.lit(".png")).alias("name"),
+        "data", (F.col("vec_id") % 100 == 0).alias("broken"),
+    )
+    target = out if re.match(r"\w+://", out) else "file://" + out.removeprefix("file:")
+
+    def write(batches):
+        files, folder = pa.fs.FileSystem.from_uri(target)
+        files.create_dir(folder, recursive=True)
+        for batch in batches:
+            for name, data, broken in zip(*(c.to_pylist() for c in batch.columns)):
+                body = b"no image" if broken else png_bytes(data)
+                with files.open_output_stream(f"{folder}/{name}") as stream:
+                    stream.write(body)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], names=["n"])
+
+    named.mapInArrow(write, "n long").agg(F.sum("n")).collect()
+    return out
+
+
 def mean_brightness():
     """A stand-in model: the mean of the input tensor."""
     return lambda batch: batch.mean(axis=(1, 2, 3), dtype="float64")

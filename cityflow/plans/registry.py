@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityflow.functions import text, time
@@ -31,31 +29,12 @@ from cityflow.options import (
     NormalizerBounds,
 )
 from cityflow.plans import dataflows, feeds, set_expansion
-from cityflow.session import prepare, run_dir
+from cityflow.plans.named import ORACLES, QUERIES, query  # noqa: F401
+from cityflow.session import run_dir
 from cityflow.sources import archives, images, messages, payloads, sinks
 from cityflow.sources.annotations import read_sentences
 from cityflow.streaming.writers import append_csv, drain
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    """Register a query under its function's name, with its SQL counterpart if there is one."""
-
-    def register(fn: Query) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(prepare(spark), sf_dir.rstrip("/"))
-
-        QUERIES[fn.__name__] = run
-        if sql is not None:
-            ORACLES[fn.__name__] = sql
-        return fn
-
-    return register
-
-
 # --------------------------------------------------------------------------- SQL building blocks
 
 US = 1_000_000
@@ -891,14 +870,9 @@ def distinct_urls(spark, sf_dir):
 
 @query(f"{RELATIONS} SELECT value1, value2, confidence, sent_id FROM rel")
 def sentences_xml_scan(spark, sf_dir):
-    """Annotated sentences written as XML and scanned back.
-
-    One task parses a whole XML file, so files are kept small.
-    """
+    """Annotated sentences written as XML and scanned back, each file by as many tasks as it has splits."""
     out = run_dir(spark, "sentences")
-    _to_xml_rows(_sentences(spark, sf_dir)).write.format("xml").option("rowTag", "sentence").option(
-        "maxRecordsPerFile", 20_000
-    ).save(out)
+    _to_xml_rows(_sentences(spark, sf_dir)).write.format("xml").option("rowTag", "sentence").save(out)
     kind = relations.KINDS["OrgBased_In"]
     found = relations.extract_relations(read_sentences(spark, out), kind)
     return _flat(found).select("value1", "value2", "confidence", "sent_id")
@@ -946,7 +920,35 @@ def _to_xml_rows(sentences: DataFrame) -> DataFrame:
     )
 
 
-@query()
+def _expansion_sql(rounds: int = 5, hits: int = 10, k: int = 30, patience: int = 4) -> str:
+    """The loop unrolled: a round without a query finds nothing, and so do those after it."""
+    steps = [f"""WITH line AS MATERIALIZED (SELECT 'line/' || l_orderkey || '/' || {SENTENCE_ID} AS url,
+  {SENTENCE_ID} AS sent_id, 'Supplier' || l_suppkey AS value1, 'Part' || l_partkey AS value2,
+  l_discount * 10 AS confidence, l_returnflag FROM lineitem),
+q1 AS (SELECT 'Supplier1' AS value1, 'Part1' AS value2),
+pages0 AS (SELECT NULL::VARCHAR AS url, 0::BIGINT AS page_order WHERE false)"""]
+    for i in range(1, rounds + 1):
+        used = " UNION ALL ".join(f"SELECT value1, value2 FROM q{j}" for j in range(2, i + 1))
+        unused = f"(value1, value2) NOT IN ({used})" if used else "true"
+        idle = " + ".join(f"(SELECT (count(*) = 0)::INTEGER FROM rel{j})" for j in range(1, i + 1))
+        steps.append(f"""found{i} AS MATERIALIZED (SELECT url, (l.value1 = q.value1)::INTEGER + (l.value2 = q.value2)::INTEGER AS matched
+  FROM line l, q{i} q WHERE l.value1 = q.value1 OR l.value2 = q.value2 ORDER BY matched DESC, url LIMIT {hits}),
+fresh{i} AS MATERIALIZED (SELECT url, (SELECT count(*) FROM pages{i - 1}) + row_number() OVER (ORDER BY matched DESC, url) - 1
+  AS page_order FROM found{i} WHERE url NOT IN (SELECT url FROM pages{i - 1})),
+pages{i} AS MATERIALIZED (SELECT * FROM pages{i - 1} UNION ALL SELECT * FROM fresh{i}),
+rel{i} AS MATERIALIZED (SELECT line.*, page_order FROM fresh{i} JOIN line USING (url) WHERE l_returnflag <> 'A'),
+best{i} AS MATERIALIZED (SELECT value1, value2, max(confidence) AS confidence,
+  (list(url ORDER BY confidence DESC, page_order, sent_id))[1] AS url, min(page_order) AS page_order,
+  (list(sent_id ORDER BY page_order, sent_id))[1] AS sent_id
+  FROM ({" UNION ALL ".join(f"SELECT * FROM rel{j}" for j in range(1, i + 1))}) GROUP BY value1, value2),
+q{i + 1} AS MATERIALIZED (SELECT value1, value2 FROM best{i} WHERE EXISTS (SELECT 1 FROM q{i})
+  AND (SELECT count(*) FROM best{i} WHERE confidence > 0.5) < {k} AND {idle} < {patience}
+  AND NOT (contains('supplier1 part1', lower(value1)) AND contains('supplier1 part1', lower(value2))) AND {unused}
+  ORDER BY confidence DESC, page_order, sent_id LIMIT 1)""")
+    return ",\n".join(steps) + f"\nSELECT url, page_order, sent_id, value1, value2, confidence FROM best{rounds}"
+
+
+@query(_expansion_sql())
 def expanded_relations(spark, sf_dir):
     """Set expansion over all order lines, one page each, from one seed."""
     lines = feeds.table(spark, sf_dir, "lineitem")
@@ -1125,3 +1127,7 @@ def dedup_stream(spark, sf_dir):
     twice = ev.unionByName(ev).withWatermark("ts", "10 minutes")
     once = drain(messages.drop_repeats(twice, ["event_id"]), "dedup")
     return once.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+# These register queries of their own, built with the names above.
+from cityflow.plans import image_queries, stream_queries  # noqa: E402, F401

@@ -2,10 +2,13 @@
 
 Each round searches a page corpus for the query, extracts relations from the
 annotated sentences of the pages found, and takes the best unused pair as the
-next query. The driver loop holds a query string, page addresses (at most
-``hits`` per round) and counts; pages, sentences and relations stay in Spark.
-A round's relations go to a table in the shared folder, so lineage never grows
-and a lost executor costs one round's work at most.
+next query. Pages and sentences are gone through once: an inverted table of words
+and the sentences are laid out in folders by a hash of the word and of the page's
+address, sorted within, so that a round reads the few folders and row groups its
+words and pages lie in. The driver loop holds a query string and counts (and, for
+a bounded number of hits, their addresses); pages, sentences and relations stay in
+Spark. A round's pages and relations go to tables in the shared folder, so lineage
+never grows and a lost executor costs one round's work at most.
 """
 
 from __future__ import annotations
@@ -20,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityflow.operators import relations as rel
+from cityflow.operators.slices import lay_out
 from cityflow.session import run_dir
 
 WORD_BREAK = r"[^\p{L}\p{N}#]+"
@@ -35,23 +39,103 @@ class Expansion:
     iterations: int = 0
 
 
+def words_of(query: str) -> list[str]:
+    """The query cut into words as pages are, each once."""
+    return sorted(set(re.findall(r"(?:[^\W_]|#)+", query.lower())))
+
+
 def search_pages(pages: DataFrame, query: str, hits: int | None = 10) -> DataFrame:
     """The ``hits`` pages holding most words of the query (None: all); equals in address order.
 
     Query and pages are cut into words alike; a query without words finds no page.
     A plain substring test comes first: only pages passing it are split into words.
     """
-    words = sorted(set(re.findall(r"(?:[^\W_]|#)+", query.lower())))
+    words = words_of(query)
     if not words:
         return pages.limit(0).select("url", F.lit(0).alias("matched"))
     text = F.lower("text")
     maybe = reduce(or_, [text.contains(w) for w in words])
     found = F.array_intersect(F.array(*map(F.lit, words)), F.split(text, WORD_BREAK))
     scored = pages.filter(maybe).select("url", F.size(found).alias("matched"))
-    ranked = scored.filter("matched > 0").orderBy(F.desc("matched"), "url")
+    return _best(scored.filter("matched > 0"), hits)
+
+
+def _best(scored: DataFrame, hits: int | None) -> DataFrame:
+    ranked = scored.orderBy(F.desc("matched"), "url")
     return ranked if hits is None else ranked.limit(hits)
 
 
+@dataclass
+class Index:
+    """Words to pages, and sentences by page, in ``buckets`` folders each."""
+
+    words: DataFrame
+    sentences: DataFrame
+    buckets: int
+
+    def search(self, query: str, hits: int | None = 10) -> DataFrame:
+        """As :func:`search_pages`, from the folders of the query's words only."""
+        words = words_of(query)
+        if not words:
+            return self.words.limit(0).select("url", F.lit(0).alias("matched"))
+        spark = self.words.sparkSession
+        hashes = spark.range(1).select(*[_bucket(F.lit(w), self.buckets) for w in words]).first()
+        rows = self.words.where(F.col("bucket").isin(*set(hashes)) & F.col("word").isin(words))
+        scored = rows.groupBy("url").agg(F.count_distinct("word").cast("int").alias("matched"))
+        return _best(scored, hits)
+
+    def of_addresses(self, order: dict[str, int]) -> DataFrame:
+        """Sentences of the pages in ``order`` (address to page order).
+
+        Addresses are literals: they prune folders and row groups.
+        """
+        if not order:
+            return self.sentences.limit(0).drop("bucket")
+        spark = self.sentences.sparkSession
+        keys = F.array(*map(F.lit, order))
+        hashes = spark.range(1).select(F.transform(keys, lambda u: _bucket(u, self.buckets))).first()[0]
+        position = F.create_map(
+            *chain.from_iterable((F.lit(u), F.lit(i).cast("long")) for u, i in order.items())
+        )
+        rows = self.sentences.where(F.col("bucket").isin(*set(hashes)) & F.col("url").isin(*order))
+        return rows.withColumn("page_order", position[F.col("url")]).drop("bucket")
+
+    def of_pages(self, pages: DataFrame) -> DataFrame:
+        """Sentences of ``pages(url, page_order)``, any number of them, joined by folder and address."""
+        keyed = pages.withColumn("bucket", _bucket(F.col("url"), self.buckets))
+        return self.sentences.drop("page_order").join(keyed, ["bucket", "url"]).drop("bucket")
+
+
+def _bucket(value, buckets: int):
+    return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
+
+
+def build_index(
+    pages: DataFrame, sentences: DataFrame, kind: rel.RelationKind | None = None, buckets: int = 32
+) -> Index:
+    """Lay out ``pages(url, text)`` by word and ``sentences`` by page in the shared folder.
+
+    One pass over each. With ``kind`` only the sentences that can hold such a
+    relation are kept. A word of very many pages fills one folder, in as many
+    files as its size needs; ``buckets`` should grow with the corpus.
+    """
+    spark = pages.sparkSession
+    folder = run_dir(spark, "page-index")
+    kept = sentences if kind is None else rel.candidate_sentences(sentences, kind)
+    split = F.array_distinct(F.split(F.lower("text"), WORD_BREAK))
+    words = pages.select("url", F.explode(split).alias("word")).where("word <> ''")
+
+    def lay(df: DataFrame, key: str, name: str) -> DataFrame:
+        keyed = df.withColumn("bucket", _bucket(F.col(key), buckets))
+        # ranges, not hashes: a hot word or page is cut by address into several files
+        keyed.repartitionByRange("bucket", key, "url").sortWithinPartitions("bucket", key, "url").write.option(
+            "parquet.block.size", 4 << 20
+        ).partitionBy("bucket").parquet(f"{folder}/{name}")
+        return spark.read.schema(keyed.schema).parquet(f"{folder}/{name}")
+
+    return Index(lay(words, "word", "words"), lay(kept, "url", "sentences"), buckets)
+
+
 def expand(
     pages: DataFrame,
     sentences: DataFrame,
@@ -62,25 +146,26 @@ def expand(
     max_iterations: int = 5,
     patience: int = 4,
     hits: int | None = 10,
+    index: Index | None = None,
 ) -> Expansion:
     """Run the loop over ``pages(url, text)`` and their annotated ``sentences``.
 
     Ends with ``k`` pairs above the threshold, after ``patience`` rounds that
-    extracted nothing, after ``max_iterations``, or when no query is left.
+    extracted nothing, after ``max_iterations``, or when no query is left. An
+    ``index`` built before saves the one pass over pages and sentences.
     """
     spark = pages.sparkSession
     folder = run_dir(spark, "expansion")
+    index = index or build_index(pages, sentences, kind)
     out = Expansion(relations=None, queries=[seed])
-    processed: list[str] = []
+    visits = _Visits(index, hits)
     used: list[tuple[str, str]] = []
     stalled = 0
     query = seed
     for out.iterations in range(1, max_iterations + 1):
-        urls = [row.url for row in search_pages(pages, query, hits).collect()]
-        fresh = [u for u in urls if u not in processed]
-        order = {u: len(processed) + i for i, u in enumerate(fresh)}
-        processed += fresh
-        extracted = _extract(sentences, order, kind)
+        chosen = visits.sentences(query)
+        found = rel.extract_relations(rel.candidate_sentences(chosen, kind), kind)
+        extracted = rel.keep_best(found, ["url", "e1.id", "e2.id"])
         extracted.write.mode("overwrite").parquet(f"{folder}/round={out.iterations}")
         per_round = spark.read.schema(extracted.schema).parquet(
             *[f"{folder}/round={i}" for i in range(1, out.iterations + 1)]
@@ -112,19 +197,31 @@ def expand(
     return out
 
 
-def _extract(sentences: DataFrame, order: dict[str, int], kind: rel.RelationKind) -> DataFrame:
-    """Relations of the chosen pages, best per pair of entities within a page.
+class _Visits:
+    """Which pages have been gone through, and in what order.
 
-    The addresses are literals, so they reach the scan as a pushed filter.
+    A bounded number of hits is kept as a list of addresses, any number of them
+    as a table per round.
     """
-    if order:
-        position = F.create_map(
-            *chain.from_iterable((F.lit(u), F.lit(i).cast("long")) for u, i in order.items())
-        )
-        chosen = sentences.filter(F.col("url").isin(*order)).withColumn(
-            "page_order", position[F.col("url")]
-        )
-    else:
-        chosen = sentences.filter(F.lit(False))
-    found = rel.extract_relations(rel.candidate_sentences(chosen, kind), kind)
-    return rel.keep_best(found, ["url", "e1.id", "e2.id"])
+
+    def __init__(self, index: Index, hits: int | None):
+        self.index, self.hits, self.count = index, hits, 0
+        self.listed: set[str] = set()
+        self.tables: list[DataFrame] = []
+
+    def sentences(self, query: str) -> DataFrame:
+        """Sentences of the pages found that were not gone through yet, in order of the find."""
+        found = self.index.search(query, self.hits)
+        if self.hits is not None:
+            fresh = [r.url for r in found.collect() if r.url not in self.listed]
+            order = {u: self.count + i for i, u in enumerate(fresh)}
+            self.listed.update(fresh)
+            self.count += len(fresh)
+            return self.index.of_addresses(order)
+        for table in self.tables:
+            found = found.join(table.select("url"), "url", "left_anti")
+        ordered = lay_out(found.select((-F.col("matched")).alias("least"), "url"), ["least", "url"])
+        pages = ordered.places("page_order").select("url", (F.col("page_order") + self.count).alias("page_order"))
+        self.count += ordered.count
+        self.tables.append(pages)
+        return self.index.of_pages(pages)

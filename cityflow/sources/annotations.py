@@ -9,18 +9,66 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cityflow import schemas
+from cityflow.operators.slices import lay_out
 
 
-def read_sentences(spark: SparkSession, path: str) -> DataFrame:
-    """Sentence rows in the SENTENCE shape; the file path stands for the page address."""
-    xml = (
-        spark.read.format("xml")
-        .option("rowTag", "sentence")
-        .schema(schemas.SENTENCE_XML)
-        .load(path)
-        .withColumn("url", F.col("_metadata.file_path"))
+RECORD_END = "</sentence>"
+_CORRUPT = "_corrupt_record"
+
+
+def sentence_records(spark: SparkSession, path: str) -> DataFrame:
+    """``url, record``: the XML text of every sentence below ``path``.
+
+    Files are cut at the closing tag by the text scan, so one large file feeds as
+    many tasks as it has splits. What precedes an opening tag (a header, the end
+    of the list before) is left out. An element without content is no sentence.
+    """
+    cut = spark.read.option("lineSep", RECORD_END).text(path).withColumn("url", F.col("_metadata.file_path"))
+    filled = F.regexp_replace("value", r"<sentence(\s[^<>]*)?/>", "")
+    opened = F.regexp_extract(filled, r"(?s)<sentence[\s>].*", 0)
+    return cut.select("url", opened.alias("record")).where("record <> ''").select(
+        "url", F.concat("record", F.lit(RECORD_END)).alias("record")
     )
-    return from_xml_rows(xml)
+
+
+def page_positions(spark: SparkSession, path: str, by: str = "path") -> DataFrame:
+    """``url, page_order``: each file's place among the files, from 0.
+
+    ``by="path"`` orders by name, ``by="time"`` by modification, equals by name.
+    Only the listing is read.
+    """
+    keys = {"path": ["url"], "time": ["modificationTime", "url"]}[by]
+    listing = spark.read.format("binaryFile").load(path).select(
+        F.col("_metadata.file_path").alias("url"), "modificationTime"
+    )
+    return lay_out(listing, keys).places("page_order").select("url", "page_order")
+
+
+def _parsed(spark: SparkSession, path: str) -> DataFrame:
+    schema = f"{schemas.SENTENCE_XML}, {_CORRUPT} STRING"
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    records = sentence_records(spark, path)
+    return records.select("url", "record", F.from_xml("record", schema, options).alias("s"))
+
+
+def read_sentences(spark: SparkSession, path: str, pages_by: str | None = "path") -> DataFrame:
+    """Sentence rows in the SENTENCE shape; the file path stands for the page address.
+
+    Pages are ordered as in :func:`page_positions`; ``pages_by=None`` makes every
+    page the first. Records that cannot be read are rows of :func:`sentence_faults`.
+    """
+    good = _parsed(spark, path).where(F.col(f"s.{_CORRUPT}").isNull() & F.col("s").isNotNull())
+    rows = from_xml_rows(good.select("url", "s.*"))
+    if pages_by is None:
+        return rows
+    placed = rows.drop("page_order").join(page_positions(spark, path, pages_by), "url")
+    return placed.select(*rows.columns)
+
+
+def sentence_faults(spark: SparkSession, path: str) -> DataFrame:
+    """``url, record``: records that are no well-formed sentence, as they stand in the file."""
+    parsed = _parsed(spark, path)
+    return parsed.where(F.col(f"s.{_CORRUPT}").isNotNull() | F.col("s").isNull()).select("url", "record")
 
 
 def _bare(text: Column) -> Column:

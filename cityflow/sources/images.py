@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,23 @@ def read_images(spark: SparkSession, path: str, pattern: str | None = None) -> D
     return (reader.option("pathGlobFilter", pattern) if pattern else reader).load(path)
 
 
+UNDECODABLE = "undecodable"
+
+
+def read_images_checked(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+    """``image, fault`` of every file named; only these files are opened.
+
+    A file that the decoder refuses keeps its row: ``image.origin`` tells which,
+    ``fault`` is set and the pixels are empty. No paths: no rows.
+    """
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    if not paths:
+        empty = "image STRUCT<origin: STRING, height: INT, width: INT, nChannels: INT, mode: INT, data: BINARY>"
+        return spark.createDataFrame([], f"{empty}, fault STRING")
+    frames = spark.read.format("image").option("dropInvalid", False).load(paths)
+    return frames.withColumn("fault", F.when(F.col("image.height") < 0, F.lit(UNDECODABLE)))
+
+
 #: Files that the image reader decodes.
 IMAGE_FILES = "*.{jpg,jpeg,png,gif,bmp,JPG,JPEG,PNG,GIF,BMP}"
 

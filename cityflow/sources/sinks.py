@@ -38,9 +38,12 @@ def to_payload(df: DataFrame, text: str = "text") -> DataFrame:
     return df.select(F.encode(F.col(text), "UTF-8").alias("value"))
 
 
-def radio_table_rows(samples: DataFrame) -> DataFrame:
-    """Radio samples in the nested warehouse shape; rows lacking a required field are left out."""
+def radio_table_rows(samples: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Radio samples in the nested warehouse shape; rows lacking a required field are left out.
+
+    ``keep`` names columns that stay beside it, such as the one the table is partitioned by.
+    """
     complete = samples.filter(F.col("data").isNotNull() & F.col("localdatetime").isNotNull())
     return complete.select(
-        "data", F.struct("localdatetime", "center_freq", "sample_rate").alias("attribute")
+        *keep, "data", F.struct("localdatetime", "center_freq", "sample_rate").alias("attribute")
     )
