@@ -192,11 +192,16 @@ def dedup_relations(relations: DataFrame) -> DataFrame:
     return keep_best(per_page, ["e1.value", "e2.value"])
 
 
-def above(relations: DataFrame, threshold: float) -> DataFrame:
+def is_above(threshold: float) -> Column:
     """Confidence strictly above the threshold, which lies in (0, 1]."""
     if not 0 < threshold <= 1:
         raise ValueError(f"threshold must be in (0, 1], not {threshold}")
-    return relations.filter(F.col("confidence") > F.lit(threshold))
+    return F.col("confidence") > F.lit(threshold)
+
+
+def above(relations: DataFrame, threshold: float) -> DataFrame:
+    """Relations whose confidence lies strictly above the threshold."""
+    return relations.filter(is_above(threshold))
 
 
 def ranked(relations: DataFrame, order: list[str] | None = None) -> DataFrame:

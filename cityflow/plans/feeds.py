@@ -333,6 +333,37 @@ def annotated_sentences(lines: DataFrame, page: str = "order") -> DataFrame:
     )
 
 
+def sentence_xml() -> Column:
+    """The sentence as the annotator's XML spells it; names and numbers need no escapes."""
+
+    def each(rows, *parts) -> Column:
+        return F.array_join(F.transform(rows, lambda x: F.concat(*[p(x) if callable(p) else F.lit(p) for p in parts])), "")
+
+    tokens = each(
+        "tokens", '<token id="', lambda t: t["id"], '"><word>', lambda t: t["word"], "</word><NER>", lambda t: t["ner"],
+        "</NER></token>",
+    )
+    entities = each(
+        "entities", '<entity id="', lambda e: e["id"], '">', lambda e: e["type"], '<span start="0" end="', lambda e: e["end"],
+        '"/></entity>',
+    )
+    relations = each(
+        "relations", '<relation id="R">', lambda r: r["type"], "<arguments>",
+        lambda r: each(r["args"], '<entity id="', lambda a: a["id"], '">', lambda a: a["type"], "</entity>"),
+        "</arguments><probabilities>",
+        lambda r: each(
+            r["probs"], "<probability><label>", lambda p: p["label"], "</label><value>", lambda p: p["value"].cast("string"),
+            "</value></probability>",
+        ),
+        "</probabilities></relation>",
+    )
+    return F.concat(
+        F.lit('<sentence id="'), F.col("sent_id").cast("string"), F.lit('"><tokens>'), tokens,
+        F.lit("</tokens><MachineReading><entities>"), entities, F.lit("</entities><relations>"), relations,
+        F.lit("</relations></MachineReading></sentence>"),
+    )
+
+
 def line_pages(lines: DataFrame) -> DataFrame:
     """One page per order line: what `search_pages` looks through."""
     words = F.concat_ws(

@@ -872,54 +872,12 @@ def distinct_urls(spark, sf_dir):
 def sentences_xml_scan(spark, sf_dir):
     """Annotated sentences written as XML and scanned back, each file by as many tasks as it has splits."""
     out = run_dir(spark, "sentences")
-    _to_xml_rows(_sentences(spark, sf_dir)).write.format("xml").option("rowTag", "sentence").save(out)
+    _sentences(spark, sf_dir).select(feeds.sentence_xml().alias("value")).write.text(out)
     kind = relations.KINDS["OrgBased_In"]
     found = relations.extract_relations(read_sentences(spark, out), kind)
     return _flat(found).select("value1", "value2", "confidence", "sent_id")
 
 
-def _to_xml_rows(sentences: DataFrame) -> DataFrame:
-    tokens = F.transform(
-        "tokens",
-        lambda t: F.struct(t["id"].alias("_id"), t["word"].alias("word"), t["ner"].alias("NER")),
-    )
-    entities = F.transform(
-        "entities",
-        lambda e: F.struct(
-            e["type"].alias("_VALUE"), e["id"].alias("_id"),
-            F.struct(F.lit("0").alias("_start"), e["end"].alias("_end")).alias("span"),
-        ),
-    )
-    rels = F.transform(
-        "relations",
-        lambda r: F.struct(
-            r["type"].alias("_VALUE"),
-            F.lit("R").alias("_id"),
-            F.struct(
-                F.transform(
-                    r["args"], lambda a: F.struct(a["type"].alias("_VALUE"), a["id"].alias("_id"))
-                ).alias("entity")
-            ).alias("arguments"),
-            F.struct(
-                F.transform(
-                    r["probs"],
-                    lambda p: F.struct(
-                        p["label"].alias("label"), p["value"].cast("string").alias("value")
-                    ),
-                ).alias("probability")
-            ).alias("probabilities"),
-        ),
-    )
-    return sentences.select(
-        F.col("sent_id").alias("_id"),
-        F.struct(tokens.alias("token")).alias("tokens"),
-        F.struct(
-            F.struct(entities.alias("entity")).alias("entities"),
-            F.struct(rels.alias("relation")).alias("relations"),
-        ).alias("MachineReading"),
-    )
-
-
 def _expansion_sql(rounds: int = 5, hits: int = 10, k: int = 30, patience: int = 4) -> str:
     """The loop unrolled: a round without a query finds nothing, and so do those after it."""
     steps = [f"""WITH line AS MATERIALIZED (SELECT 'line/' || l_orderkey || '/' || {SENTENCE_ID} AS url,

@@ -14,17 +14,21 @@ never grows and a lost executor costs one round's work at most.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import chain
 from operator import or_
 
+import xxhash
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cityflow.operators import relations as rel
 from cityflow.operators.slices import lay_out
 from cityflow.session import run_dir
+from cityflow.sources.sinks import tap
 
 WORD_BREAK = r"[^\p{L}\p{N}#]+"
 
@@ -78,9 +82,8 @@ class Index:
         words = words_of(query)
         if not words:
             return self.words.limit(0).select("url", F.lit(0).alias("matched"))
-        spark = self.words.sparkSession
-        hashes = spark.range(1).select(*[_bucket(F.lit(w), self.buckets) for w in words]).first()
-        rows = self.words.where(F.col("bucket").isin(*set(hashes)) & F.col("word").isin(words))
+        folders = {_folder(w, self.buckets) for w in words}
+        rows = self.words.where(F.col("bucket").isin(*folders) & F.col("word").isin(words))
         scored = rows.groupBy("url").agg(F.count_distinct("word").cast("int").alias("matched"))
         return _best(scored, hits)
 
@@ -91,13 +94,11 @@ class Index:
         """
         if not order:
             return self.sentences.limit(0).drop("bucket")
-        spark = self.sentences.sparkSession
-        keys = F.array(*map(F.lit, order))
-        hashes = spark.range(1).select(F.transform(keys, lambda u: _bucket(u, self.buckets))).first()[0]
+        folders = {_folder(u, self.buckets) for u in order}
         position = F.create_map(
             *chain.from_iterable((F.lit(u), F.lit(i).cast("long")) for u, i in order.items())
         )
-        rows = self.sentences.where(F.col("bucket").isin(*set(hashes)) & F.col("url").isin(*order))
+        rows = self.sentences.where(F.col("bucket").isin(*folders) & F.col("url").isin(*order))
         return rows.withColumn("page_order", position[F.col("url")]).drop("bucket")
 
     def of_pages(self, pages: DataFrame) -> DataFrame:
@@ -110,14 +111,21 @@ def _bucket(value, buckets: int):
     return F.pmod(F.xxhash64(value), F.lit(buckets)).cast("int")
 
 
+def _folder(text: str, buckets: int) -> int:
+    """``_bucket`` of a known text: the same hash, read as a signed number."""
+    value = xxhash.xxh64_intdigest(text.encode(), 42)
+    return (value - (1 << 64) if value >> 63 else value) % buckets
+
+
 def build_index(
     pages: DataFrame, sentences: DataFrame, kind: rel.RelationKind | None = None, buckets: int = 32
 ) -> Index:
     """Lay out ``pages(url, text)`` by word and ``sentences`` by page in the shared folder.
 
     One pass over each. With ``kind`` only the sentences that can hold such a
-    relation are kept. A word of very many pages fills one folder, in as many
-    files as its size needs; ``buckets`` should grow with the corpus.
+    relation are kept. A word of very many pages fills one folder, whose rows the
+    rebalancing shuffle deals to as many tasks and files as their size needs;
+    ``buckets`` should grow with the corpus.
     """
     spark = pages.sparkSession
     folder = run_dir(spark, "page-index")
@@ -127,13 +135,15 @@ def build_index(
 
     def lay(df: DataFrame, key: str, name: str) -> DataFrame:
         keyed = df.withColumn("bucket", _bucket(F.col(key), buckets))
-        # ranges, not hashes: a hot word or page is cut by address into several files
-        keyed.repartitionByRange("bucket", key, "url").sortWithinPartitions("bucket", key, "url").write.option(
+        keyed.hint("rebalance", "bucket").sortWithinPartitions("bucket", key, "url").write.option(
             "parquet.block.size", 4 << 20
         ).partitionBy("bucket").parquet(f"{folder}/{name}")
         return spark.read.schema(keyed.schema).parquet(f"{folder}/{name}")
 
-    return Index(lay(words, "word", "words"), lay(kept, "url", "sentences"), buckets)
+    # two jobs that share nothing but the cores
+    with ThreadPoolExecutor(2) as both:
+        laid = both.map(inheritable_thread_target(spark)(lambda job: lay(*job)), [(words, "word", "words"), (kept, "url", "sentences")])
+        return Index(*laid, buckets)
 
 
 def expand(
@@ -166,25 +176,25 @@ def expand(
         chosen = visits.sentences(query)
         found = rel.extract_relations(rel.candidate_sentences(chosen, kind), kind)
         extracted = rel.keep_best(found, ["url", "e1.id", "e2.id"])
-        extracted.write.mode("overwrite").parquet(f"{folder}/round={out.iterations}")
-        per_round = spark.read.schema(extracted.schema).parquet(
-            *[f"{folder}/round={i}" for i in range(1, out.iterations + 1)]
-        )
+        watched, seen_rows = tap(extracted, f"round {out.iterations}")
+        watched.write.mode("overwrite").parquet(f"{folder}/round={out.iterations}")
+        per_round = spark.read.schema(extracted.schema).option("basePath", folder).parquet(folder)
         out.relations = rel.keep_best(per_round, ["e1.value", "e2.value"])
-        if rel.above(out.relations, threshold).count() >= k:
+        pairs = out.relations.withColumns(
+            {"value1": F.col("e1.value"), "value2": F.col("e2.value")}
+        )
+        # one job: the pairs above the threshold are counted on the way to the best of them
+        counted, totals = tap(pairs, f"pairs {out.iterations}", above=F.count_if(rel.is_above(threshold)))
+        tried = spark.createDataFrame(used, "value1 STRING, value2 STRING")
+        best = rel.next_query(counted, tried, seed).select("value1", "value2").first()
+        if totals.get["above"] >= k:
             out.reason = "enough"
             break
-        latest = spark.read.schema(extracted.schema).parquet(f"{folder}/round={out.iterations}")
-        if latest.isEmpty():
+        if not seen_rows.get["rows"]:
             stalled += 1
             if stalled == patience:
                 out.reason = "stalled"
                 break
-        pairs = out.relations.withColumns(
-            {"value1": F.col("e1.value"), "value2": F.col("e2.value")}
-        )
-        seen = spark.createDataFrame(used, "value1 STRING, value2 STRING")
-        best = rel.next_query(pairs, seen, seed).select("value1", "value2").first()
         if best is None:
             out.reason = "no query left"
             break

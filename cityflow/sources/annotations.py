@@ -48,7 +48,8 @@ def _parsed(spark: SparkSession, path: str) -> DataFrame:
     schema = f"{schemas.SENTENCE_XML}, {_CORRUPT} STRING"
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     records = sentence_records(spark, path)
-    return records.select("url", "record", F.from_xml("record", schema, options).alias("s"))
+    # a generated column: filters on it stay above, so that each record is parsed once
+    return records.select("url", "record", F.explode(F.array(F.from_xml("record", schema, options))).alias("s"))
 
 
 def read_sentences(spark: SparkSession, path: str, pages_by: str | None = "path") -> DataFrame:

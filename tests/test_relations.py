@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cityflow import schemas
 from cityflow.operators import relations as rel
-from cityflow.plans.set_expansion import expand, search_pages
+from cityflow.plans.set_expansion import build_index, expand, search_pages
 from frames import rows
 
 
@@ -230,3 +230,30 @@ def test_expansion_lineage_stays_short(corpus):
     plan = result.relations._jdf.queryExecution().optimizedPlan().toString()
     assert "Generate" not in plan and "parquet" in plan.lower()
     assert result.relations.filter(F.col("e1.value") == "Ann").count() == 1
+
+
+def test_index_finds_what_a_scan_finds(spark, corpus):
+    pages, sentences = corpus
+    index = build_index(pages, sentences, buckets=5)
+    for query in ("ann Paris", "Bob", "Zoe", "!!", "rome OSLO bern"):
+        for hits in (1, 10, None):
+            want = [tuple(r) for r in search_pages(pages, query, hits).collect()]
+            assert [tuple(r) for r in index.search(query, hits).collect()] == want
+
+
+def test_rounds_read_folders_not_the_corpus(spark, corpus):
+    pages, sentences = corpus
+    index = build_index(pages, sentences, buckets=5)
+    plan = index.search("Ann Paris")._jdf.queryExecution().toString()
+    assert "PartitionFilters: [bucket" in plan and "In(word, [ann,paris])" in plan, plan
+    plan = index.of_addresses({"u1": 0})._jdf.queryExecution().toString()
+    assert "PartitionFilters: [" in plan and "(bucket#" in plan and "EqualTo(url,u1)" in plan, plan
+    assert {r.url for r in index.of_addresses({"u1": 3, "u3": 4}).collect()} == {"u1", "u3"}
+
+
+def test_any_number_of_hits_is_joined_as_a_table(corpus):
+    kind = rel.KINDS["Live_In"]
+    bounded = expand(*corpus, "Ann Paris", kind, threshold=0.5, k=4)
+    whole = expand(*corpus, "Ann Paris", kind, threshold=0.5, k=4, hits=None)
+    assert found(whole) == found(bounded) and whole.queries == bounded.queries
+    assert rows(whole.relations, "page_order", "sent_id") == rows(bounded.relations, "page_order", "sent_id")

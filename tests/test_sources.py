@@ -1,3 +1,4 @@
+import os
 import json
 import struct
 import zlib
@@ -280,3 +281,39 @@ def test_images_and_manifest(spark, tmp_path):
 def test_only_fetched(spark):
     frame = spark.createDataFrame([(1, 200), (2, 404), (3, None)], "id INT, status INT")
     assert rows(images.only_fetched(frame), "id") == [(1,)]
+
+
+def test_one_xml_file_feeds_many_tasks(spark, tmp_path):
+    def sentence(i, word):
+        return (f'<sentence id="{i}">\n<tokens><token id="1"><word>{word}</word><NER>O</NER></token></tokens>'
+                f"<MachineReading><entities/><relations/></MachineReading></sentence>")
+
+    head, tail = '<?xml version="1.0"?>\n<root><document><sentences>\n', "\n</sentences></document></root>"
+    big = tmp_path / "b-large.xml"
+    big.write_text(head + "\n".join(sentence(i, f"größe{i} " + "x" * (i % 400)) for i in range(6000)) + tail)
+    (tmp_path / "a-small.xml").write_text(
+        head + '<sentence id="1"/>' + sentence(7, "only") + '<sentence id="8"><tokens></sentence>' + tail)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        got = annotations.read_sentences(spark, str(tmp_path))
+        assert annotations.sentence_records(spark, str(big)).rdd.getNumPartitions() > 5
+        found = got.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    of_big = sorted(r.sent_id for r in found if r.page_order == 1)
+    assert of_big == list(range(6000)) and len(found) == 6001
+    assert [r.tokens[0].word[:8] for r in found if r.sent_id == 41] == ["größe41 "[:8]]
+    first, = [r for r in found if r.page_order == 0]
+    assert first.sent_id == 7 and first.url.endswith("a-small.xml") and first.entities == []
+    bad, = annotations.sentence_faults(spark, str(tmp_path)).collect()
+    assert 'id="8"' in bad.record and bad.url.endswith("a-small.xml")
+
+
+def test_pages_in_order_of_time(spark, tmp_path):
+    for i, name in enumerate(("c.xml", "a.xml", "b.xml")):
+        (tmp_path / name).write_text("<s/>")
+        os.utime(tmp_path / name, (1000 + i, 1000 + i))
+    by_time = annotations.page_positions(spark, str(tmp_path), "time").orderBy("page_order").collect()
+    assert [r.url[-5:] for r in by_time] == ["c.xml", "a.xml", "b.xml"]
+    by_path = annotations.page_positions(spark, str(tmp_path)).orderBy("page_order").collect()
+    assert [(r.url[-5:], r.page_order) for r in by_path] == [("a.xml", 0), ("b.xml", 1), ("c.xml", 2)]
