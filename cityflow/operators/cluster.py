@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cityflow.functions.vectors import distances, positions_of_min, squared_distance
@@ -84,16 +84,19 @@ def fit_medoids(
     seed: int = 5,
     max_iter: int = 20,
     columns: Sequence[str] = FEATURES,
+    cost: str = "squared",
 ) -> list[tuple[float, ...]]:
-    """k-medoids under squared Euclidean cost, on all rows.
+    """k-medoids on all rows, under squared Euclidean cost or (``cost="euclidean"``) Euclidean.
 
-    The sum of squared distances from a member to the rest of its cluster is
+    Euclidean medoids are those of :func:`exact_medoids`. Under squared cost the sum of squared distances from a member to the rest of its cluster is
     ``n * |member - mean|^2`` plus a constant, so the exact medoid is the
     member nearest to the mean: two aggregations per round, no pairs and no
     sampling. Only ``k`` centres ever reach the driver. No rows give no medoids;
     fewer than ``k`` different ones are an error, and medoids that still move
     after ``max_iter`` rounds are a warning.
     """
+    if cost not in ("squared", "euclidean"):
+        raise ValueError(f"cost must be 'squared' or 'euclidean', not {cost!r}")
     rows = settle(points.select(*columns).dropna(), "points")
     if rows.isEmpty():
         return []
@@ -101,6 +104,12 @@ def fit_medoids(
     medoids = _nearest_members(rows, [tuple(map(float, c)) for c in seeds], columns)
     for _ in range(max_iter):
         assigned = assign_clusters(rows, medoids, columns)
+        if cost == "euclidean":
+            updated = sorted(set(exact_medoids(assigned, columns).values()))
+            if updated == medoids:
+                break
+            medoids = updated
+            continue
         means = assigned.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in columns]).collect()
         updated = _nearest_members(
             assigned.drop("clusters"),
@@ -118,6 +127,66 @@ def fit_medoids(
     return medoids
 
 
+def exact_medoids(
+    assigned: DataFrame, columns: Sequence[str] = FEATURES, batch: int = 32
+) -> dict[int, tuple[float, ...]]:
+    """Per ``cluster`` the member with the least sum of Euclidean distances to all members.
+
+    Exact, without comparing all pairs: once the sum S of one member c is known,
+    every other member x has a sum of |S - n d(x, c)| at least (the triangle
+    inequality, summed up), and members whose bound lies above the best sum are
+    out. A round sums up ``batch`` members per cluster in one pass, those of least
+    bound first, beginning near the mean. Only those come to the driver. Members
+    with equal sums are told apart by their coordinates; rows that lack a value
+    don't count.
+    """
+    columns = list(columns)
+    rows = settle(assigned.select("cluster", *columns).dropna(), "members")
+    members = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in columns])
+    sizes = {r["cluster"]: r for r in members.collect()}
+    if not sizes:
+        return {}
+    spark, point = rows.sparkSession, "array<double>"
+    here = F.array(*[F.col(c).cast("double") for c in columns])
+
+    def apart(other):
+        return F.sqrt(F.aggregate(
+            F.zip_with(here, other, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d
+        ))
+
+    means = spark.createDataFrame(
+        [(k, [float(r[c]) for c in columns]) for k, r in sizes.items()], f"cluster INT, mean {point}"
+    )
+    left = rows.distinct().join(F.broadcast(means), "cluster").select(
+        "cluster", *columns, F.lit(0.0).alias("_low"), apart(F.col("mean")).alias("_near")
+    )
+    best: dict[int, tuple[float, tuple[float, ...]]] = {}
+    order = Window.partitionBy("cluster").orderBy("_low", "_near", *columns)
+    while True:
+        left = settle(left, "medoid-candidates")
+        first = left.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= batch)
+        chosen = [(r["cluster"], [float(r[c]) for c in columns]) for r in first.collect()]
+        if not chosen:
+            return {k: p for k, (_, p) in best.items()}
+        listed = spark.createDataFrame(chosen, f"cluster INT, p {point}")
+        sums = rows.join(F.broadcast(listed), "cluster").groupBy("cluster", "p").agg(F.sum(apart(F.col("p"))).alias("s"))
+        found = [(r["cluster"], r["p"], r["s"]) for r in sums.collect()]
+        for k, p, s in found:
+            best[k] = min(best.get(k, (float("inf"), ())), (s, tuple(p)))
+        known = spark.createDataFrame(
+            [(k, [(p, s) for j, p, s in found if j == k], float(sizes[k]["n"]), best[k][0] * (1 + 1e-9))
+             for k in {k for k, _, _ in found}],
+            f"cluster INT, known array<struct<p: {point}, s: double>>, n double, best double",
+        )
+        bound = F.array_max(F.transform("known", lambda c: F.abs(c["s"] - F.col("n") * apart(c["p"]))))
+        new = F.array_min(F.transform("known", lambda c: apart(c["p"]))) > 0
+        left = (
+            left.join(F.broadcast(known), "cluster").where(new)
+            .withColumn("_low", F.greatest("_low", bound)).where(F.col("_low") <= F.col("best"))
+            .select("cluster", *columns, "_low", "_near")
+        )
+
+
 def _nearest_members(rows, targets, columns, clusters=None) -> list[tuple[float, ...]]:
     """For each target the row nearest to it, among the target's cluster if one is named.
 

@@ -439,3 +439,16 @@ def write_image_folder(vectors: DataFrame, out: str) -> str:
 def mean_brightness():
     """A stand-in model: the mean of the input tensor."""
     return lambda batch: batch.mean(axis=(1, 2, 3), dtype="float64")
+
+
+class NameAnnotator:
+    """A rule-based annotator: sentences end at a stop, capitalised words are names."""
+
+    def __call__(self, page: str):
+        for part in re.split(r"[.!?]+", page):
+            words = [w for w in part.split(" ") if w]
+            if words:
+                yield {"tokens": [
+                    {"id": str(i), "word": w, "ner": "NAME" if re.match("[A-Z][a-z]", w) else "O"}
+                    for i, w in enumerate(words, start=1)
+                ]}

@@ -148,3 +148,28 @@ def annotate_pages(pages: DataFrame, load_annotator: Callable[[], Annotator]) ->
 
     texts = pages.select("url", "text").filter(F.col("text").isNotNull())
     return texts.mapInPandas(annotated, schemas.SENTENCE)
+
+
+SENTENCE_OUT = schemas.SENTENCE.replace("url STRING, page_order LONG, ", "")
+
+
+def annotate_lateral(pages: DataFrame, annotator: type, text: str = "text") -> DataFrame:
+    """Every page with the sentences of its text: a table function joined laterally.
+
+    ``annotator`` is a class whose instances, one per task, map a page's whole text
+    to sentences, each a dict as :func:`annotate_pages` takes them. The page's
+    columns stay; a page without text or sentences has no row.
+    """
+
+    class Annotate:
+        def __init__(self):
+            self.annotate = annotator()
+
+        def eval(self, page: str):
+            if page is None:
+                return
+            for i, sentence in enumerate(self.annotate(page), start=1):
+                yield i, *(sentence.get(k, []) for k in ("tokens", "entities", "relations"))
+
+    table = F.udtf(Annotate, returnType=SENTENCE_OUT, useArrow=True)
+    return pages.lateralJoin(table(F.col(text).outer()))

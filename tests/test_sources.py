@@ -248,6 +248,24 @@ def test_pages_are_annotated_by_a_supplied_model(spark):
     ]
 
 
+def test_pages_joined_to_a_table_function(spark):
+    class Names:
+        """Sentences end at a full stop; two words are known names."""
+
+        def __call__(self, page):
+            names = {"Ann": "PERSON", "Paris": "LOCATION"}
+            for part in page.split(". "):
+                words = enumerate(part.split(), start=1)
+                yield {"tokens": [{"id": str(i), "word": w, "ner": names.get(w, "O")} for i, w in words]}
+
+    pages = spark.createDataFrame(
+        [(1, "Ann likes Paris. Nobody else"), (2, None), (3, "Paris")], "page_id INT, text STRING")
+    got = annotations.annotate_lateral(pages, Names).orderBy("page_id", "sent_id").collect()
+    assert [(r.page_id, r.sent_id, [t.ner for t in r.tokens], r.entities) for r in got] == [
+        (1, 1, ["PERSON", "O", "LOCATION"], []), (1, 2, ["O", "O"], []), (3, 1, ["LOCATION"], []),
+    ]
+
+
 def png(height, width, pixel):
     """A colour PNG from ``pixel(row, column) -> (r, g, b)``."""
     raw = b"".join(
