@@ -15,9 +15,11 @@ from __future__ import annotations
 import base64
 import math
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -34,6 +36,10 @@ BLANKS = " \t\n\x0b\x0c\r"
 LEAST_WORDS, WINDOW, REPEATED_PERCENT = 20, 8, 30
 #: Characters measured at a time; a longer text is cut before single blanks and its counts are added.
 PART = 1 << 20
+#: Words a worker remembers, of both vocabularies together.
+REMEMBERED = 800_000
+#: The piece vocabulary's sign for a blank.
+BLANK_PIECE = "\u2581"
 
 
 @dataclass(frozen=True)
@@ -111,9 +117,15 @@ def parts(text: str, size: int = PART) -> Iterator[str]:
 
 
 class Vocabularies:
-    """Both published vocabularies, loaded once per worker."""
+    """Both published vocabularies, loaded once per worker, and what they made of words seen before.
 
-    def __init__(self, byte_path: str, piece_path: str):
+    Neither joins over a single blank or line end between two non-blanks, so a
+    text's tokens are those of the words between, each with what stands before it:
+    a blank (left out of the key) or a line end (the key's first character). New
+    words of many texts are encoded together and remembered, until too many are.
+    """
+
+    def __init__(self, byte_path: str, piece_path: str, remembered: int = REMEMBERED):
         import sentencepiece
         import tiktoken
 
@@ -121,24 +133,117 @@ class Vocabularies:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.bytes = tiktoken.Encoding("published", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
-        self.fallback = np.array([self.pieces.IsByte(i) for i in range(self.pieces.GetPieceSize())])
-
-    def measure(self, text: str) -> tuple[int, int, int, float]:
-        """Tokens of the byte and of the piece vocabulary, fallback bytes, entropy as a share of the greatest."""
-        byte_tokens, found = 0, []
-        for part in parts(text):
-            byte_tokens += len(self.bytes.encode_to_numpy(part, disallowed_special=()))
-            found.append(np.unique(np.array(self.pieces.encode(part), dtype=np.int64), return_counts=True))
-        ids, counts = found[0]
-        if len(found) > 1:
-            counts = sum(np.bincount(i, weights=c, minlength=len(self.fallback)) for i, c in found)
-            ids = np.flatnonzero(counts)
-            counts = counts[ids]
+        names = [self.pieces.IdToPiece(i) for i in range(self.pieces.GetPieceSize())]
+        self.fallback = np.array([self.pieces.IsByte(i) for i in range(len(names))])
+        self.blank = names.index(BLANK_PIECE)
+        self.byte_begins = np.zeros(max(ranks.values()) + 1, dtype=bool)
+        self.byte_begins[[i for b, i in ranks.items() if b[:1] in (b" ", b"\n")]] = True
+        self.piece_begins = np.array([n.startswith(BLANK_PIECE) or n == "<0x0A>" for n in names])
+        self.remembered = remembered
+        self.clear()
+
+    def clear(self) -> None:
+        self.byte_counts: dict[str, int] = {}
+        self.piece_codes: dict[str, int] = {}
+        self.pool, self.starts, self.sizes = array("i"), array("q"), array("q")
+
+    def byte_ids(self, text: str) -> np.ndarray:
+        return self.bytes.encode_to_numpy(text, disallowed_special=())
+
+    def piece_ids(self, text: str) -> np.ndarray:
+        return np.array(self.pieces.encode(text), dtype=np.int64)
+
+    def keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        at = len(self.starts)
+        self.piece_codes.update(zip(words, range(at, at + len(words))))
+        self.starts.frombytes((np.cumsum(sizes) - sizes + len(self.pool)).astype(np.int64).tobytes())
+        self.sizes.frombytes(sizes.astype(np.int64).tobytes())
+        self.pool.frombytes(ids.astype(np.int32).tobytes())
+
+    def learn_bytes(self, words: list[str]) -> None:
+        plain = [w for w in words if joins(w)]
+        for start in range(0, len(plain), 4096):
+            part = plain[start : start + 4096]
+            ids = self.byte_ids("".join(w if w[0] == "\n" else " " + w for w in part))
+            heads = np.flatnonzero(self.byte_begins[ids])
+            if len(heads) == len(part):
+                self.byte_counts.update(zip(part, np.diff(np.append(heads, len(ids))).tolist()))
+        for w in words:
+            if w not in self.byte_counts:
+                self.byte_counts[w] = len(self.byte_ids(w if w[:1] == "\n" else " " + w))
+
+    def learn_pieces(self, words: list[str]) -> None:
+        plain = [w for w in words if joins(w)]
+        for start in range(0, len(plain), 4096):
+            part = plain[start : start + 4096]
+            # the vocabulary puts a blank before a text by itself; a word leads here that takes it
+            ids = self.piece_ids("a" + "".join(w if w[0] == "\n" else " " + w for w in part))[1:]
+            heads = np.flatnonzero(self.piece_begins[ids])
+            if len(heads) == len(part) and not heads[:1].any():
+                self.keep(part, ids, np.diff(np.append(heads, len(ids))))
+        for w in words:
+            if w not in self.piece_codes:
+                ids = self.piece_ids(w) if w else np.array([self.blank])
+                ids = ids[1:] if w[:1] == "\n" and ids[0] == self.blank else ids
+                self.keep([w], ids, np.array([len(ids)]))
+
+    def measure(self, texts: list[str]) -> list[tuple[int, int, int, float]]:
+        """Per text: tokens of both vocabularies, fallback bytes, entropy as a share of the greatest."""
+        if len(self.byte_counts) + len(self.starts) > self.remembered or len(self.pool) > 8 * self.remembered:
+            self.clear()
+        cut = [words(t) if t and len(t) <= PART and not t[0].isspace() and BLANK_PIECE not in t else None for t in texts]
+        first = [["\n" + w[0], *w[1:]] if w else [] for w in cut]
+        new = {w for row in first for w in row if w not in self.byte_counts}
+        if new:
+            self.learn_bytes(list(new))
+        new = {w for row in cut if row for w in row if w not in self.piece_codes}
+        if new:
+            self.learn_pieces(list(new))
+        pool, starts, sizes = (np.frombuffer(x, d) for x, d in ((self.pool, np.int32), (self.starts, np.int64), (self.sizes, np.int64)))
+        out = []
+        for text, led, row in zip(texts, first, cut):
+            if row is None:
+                out.append(self.measure_parts(text))
+                continue
+            codes = np.fromiter(map(self.piece_codes.__getitem__, row), np.int64, len(row))
+            each = sizes[codes]
+            past = np.cumsum(each)
+            ids = pool[np.arange(past[-1]) + np.repeat(starts[codes] - past + each, each)]
+            # the added line end is one token
+            out.append((sum(map(self.byte_counts.__getitem__, led)) - 1, *self.shape(*np.unique(ids, return_counts=True))))
+        return out
+
+    def measure_parts(self, text: str) -> tuple[int, int, int, float]:
+        """A text that is long, begins with white space or holds the sign for a blank, part by part."""
+        byte_tokens, counts = 0, np.zeros(len(self.fallback), dtype=np.int64)
+        for k, part in enumerate(parts(text)):
+            byte_tokens += len(self.byte_ids(part))
+            counts += np.bincount(self.piece_ids(part[1:] if k and part[:1] == " " else part), minlength=len(counts))
+        ids = np.flatnonzero(counts)
+        return byte_tokens, *self.shape(ids, counts[ids])
+
+    def shape(self, ids: np.ndarray, counts: np.ndarray) -> tuple[int, int, float]:
         total = int(counts.sum())
         share = counts / max(total, 1)
         entropy = float(-(share * np.log2(share)).sum())
         level = entropy / math.log2(min(total, len(self.fallback))) if total > 1 else float(total)
-        return byte_tokens, total, int(counts[self.fallback[ids]].sum()), level
+        return total, int(counts[self.fallback[ids]].sum()), level
+
+
+#: A blank or line end beside white space: then a text is cut by pattern, not by one replacement.
+_IRREGULAR = re.compile(r"[ \n]\s|\s[ \n]")
+_BETWEEN = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
+_INNER = re.compile(r"\s")
+
+
+def words(text: str) -> list[str]:
+    """A text that begins with a non-blank, cut into the keys of its words."""
+    return _BETWEEN.split(text) if _IRREGULAR.search(text) else text.replace("\n", " \n").split(" ")
+
+
+def joins(word: str) -> bool:
+    """Whether a key has no white space but a line end in front."""
+    return bool(word[1:]) and not _INNER.search(word, 1) and (word[0] == "\n" or not _INNER.match(word))
 
 
 @lru_cache(maxsize=2)
@@ -146,22 +251,20 @@ def vocabularies(byte_path: str, piece_path: str) -> Vocabularies:
     return Vocabularies(byte_path, piece_path)
 
 
-def repeated_words(ids: np.ndarray, document: np.ndarray, window: int = WINDOW) -> np.ndarray:
+def repeated_words(said: list[bytes], document: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """True for the words in windows of ``window`` words found twice or more in their document.
 
     Windows of one hash are candidates (equal windows have one hash), and only
     those are compared word by word.
     """
-    covered = np.zeros(len(ids), dtype=bool)
-    if len(ids) < window:
+    covered = np.zeros(len(said), dtype=bool)
+    if len(said) < window:
         return covered
-    mixed = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    count = len(ids) - window + 1
-    key = np.zeros(count, dtype=np.uint64)
+    mixed = np.fromiter(map(hash, said), np.int64, len(said)).astype(np.uint64)
+    count = len(said) - window + 1
+    key = document[:count].astype(np.uint64)
     for k in range(window):
         key = key * np.uint64(0xD6E8FEB86659FD93) + mixed[k : k + count]
-    key = key * np.uint64(0xD6E8FEB86659FD93) + document[:count].astype(np.uint64)
     at = np.flatnonzero(document[:count] == document[window - 1 :])
     ordered = np.sort(key[at])
     twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
@@ -169,7 +272,11 @@ def repeated_words(ids: np.ndarray, document: np.ndarray, window: int = WINDOW)
         return covered
     place = np.minimum(np.searchsorted(twice, key[at]), len(twice) - 1)
     at = at[twice[place] == key[at]]
-    rows = [document[at], *(ids[at + k] for k in range(window))]
+    known: dict[bytes, int] = {}
+    held = np.unique((at[:, None] + np.arange(window)).ravel())
+    number = np.zeros(len(said), dtype=np.int64)
+    number[held] = [known.setdefault(said[i], len(known)) for i in held.tolist()]
+    rows = [document[at], *(number[at + k] for k in range(window))]
     order = np.lexsort(rows[::-1])
     same = np.ones(len(at) - 1, dtype=bool)
     for column in rows:
@@ -178,7 +285,7 @@ def repeated_words(ids: np.ndarray, document: np.ndarray, window: int = WINDOW)
     equal = np.zeros(len(at), dtype=bool)
     equal[1:] |= same
     equal[:-1] |= same
-    edge = np.zeros(len(ids) + 1, dtype=np.int64)
+    edge = np.zeros(len(said) + 1, dtype=np.int64)
     starts = at[order[equal]]
     np.add.at(edge, starts, 1)
     np.add.at(edge, starts + window, -1)
@@ -225,18 +332,17 @@ def judge(
 
     def measured(work, ids, texts, langs):
         texts = [t or "" for t in texts]
-        known: dict[bytes, int] = {}
-        words = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        sizes = np.array([len(w) for w in words], dtype=np.int64)
-        numbers = np.fromiter((known.setdefault(w, len(known)) for row in words for w in row), np.int64, int(sizes.sum()))
+        split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
+        sizes = np.array([len(w) for w in split], dtype=np.int64)
         document = np.repeat(np.arange(len(texts)), sizes)
-        repeats = np.bincount(document[repeated_words(numbers, document)], minlength=len(texts))
-        del words, known
+        repeats = np.bincount(document[repeated_words(list(chain.from_iterable(split)), document)], minlength=len(texts))
+        del split
+        found = work.measure(texts)
         out = {name: [] for name in types}
         for k, text in enumerate(texts):
             n, again = int(sizes[k]), int(repeats[k])
             failed = n < LEAST_WORDS or 100 * again > REPEATED_PERCENT * n
-            byte_tokens, tokens, fallback, level = work.measure(text)
+            byte_tokens, tokens, fallback, level = found[k]
             named = script(text)
             per_byte, per_piece = (len(text) / max(c, 1) for c in (byte_tokens, tokens))
             share = fallback / max(tokens, 1)

@@ -86,7 +86,8 @@ def test_noise_goes_and_prose_stays(spark, documents):
 def test_windows_of_one_hash_are_compared():
     rng = np.random.default_rng(0)
     ids, document = rng.integers(0, 3, 4000), np.sort(rng.integers(0, 40, 4000))
-    got = fertility.repeated_words(ids, document)
+    said = [b"w%d" % i for i in ids]
+    got = fertility.repeated_words(said, document)
     want = np.zeros(4000, dtype=bool)
     for d in range(40):
         at = np.flatnonzero(document == d)
@@ -106,3 +107,25 @@ def test_long_texts_are_measured_in_parts():
     whole = work.bytes.encode_ordinary(text)
     parts = [t for p in fertility.parts(text, 500) for t in work.bytes.encode_ordinary(p)]
     assert parts == whole
+
+
+ODD = ["", "a", "  a", " a", "a ", "a  b", "a\n b", "a\nb", "\na", "a\n", "a\nb\n\nc", "\u2581a b\u2581 \u2581", "it's 'll a\n's", "\x1ca b\x1c",
+       "日本 語\nです", "a\u00a0b c", "\u3000 a", "<s> </s>\n<0x0A>", "a<|endoftext|> b"]
+
+
+@pytest.mark.parametrize("remembered", [fertility.REMEMBERED, 60])
+def test_words_give_the_tokens_of_the_whole(remembered):
+    rng = random.Random(remembered)
+    paths = (public_tokenizers.path(p) for p in (fertility.BYTE_VOCABULARY, fertility.PIECE_VOCABULARY))
+    work = fertility.Vocabularies(*paths, remembered)
+    bits = ["the", " ", " ", "  ", ",", "'s", "É", "\n", "9", "!", "Word", "\t", "\u2581", "\u3000", "🎉", "x\x1c"]
+    texts = ODD + ["".join(rng.choices(bits, k=30)) for _ in range(1500)]
+    for start in range(0, len(texts), 50):
+        part = texts[start : start + 50]
+        for text, (byte_tokens, tokens, fallback, level) in zip(part, work.measure(part)):
+            ids = work.pieces.encode(text)
+            assert byte_tokens == len(work.bytes.encode_ordinary(text)), text
+            assert (tokens, fallback) == (len(ids), sum(map(work.pieces.IsByte, ids))), text
+            share = np.array(list(Counter(ids).values())) / max(len(ids), 1)
+            want = -(share * np.log2(share)).sum() / math.log2(len(ids)) if len(ids) > 1 else len(ids)
+            assert level == pytest.approx(want), text
