@@ -40,6 +40,30 @@ def weather_records(messages: DataFrame, strict: bool = False) -> DataFrame:
     )
 
 
+#: The numbers each feed's messages carry as text.
+FEED_NUMBERS = {"traffic": ("cnn_output",), "tweets": (), "weather": ("temp", "uv", "wind")}
+
+
+def feed_faults(messages: DataFrame, feed: str) -> DataFrame:
+    """Messages of a feed that lose something on the way to a record, with ``fault`` saying what.
+
+    A message without a usable time is in no window; one whose number is missing or
+    unreadable, or whose weather summary has no level, is in its window without that
+    value. Several faults are listed together. Works on batches and streams.
+    """
+
+    def of(name: str) -> Column:
+        text = attribute(name)
+        unread = F.when(number(text).isNull(), F.lit(f"unreadable {name}"))
+        return F.when(text.isNull(), F.lit(f"missing {name}")).otherwise(unread)
+
+    faults = [F.when(F.col("ts").isNull(), F.lit("no time")), *map(of, FEED_NUMBERS[feed])]
+    if feed == "weather":
+        faults.append(F.when(rain_level(attribute("summary")).isNull(), F.lit("unknown summary")))
+    listed = messages.withColumn("fault", F.concat_ws(", ", *faults))
+    return listed.where("fault <> ''")
+
+
 def to_long(records: DataFrame) -> DataFrame:
     """Feature columns to ``(ts, key, value)`` rows: one row in, one row per feature out."""
     names = [f for f in FEATURES if f in records.columns]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cityflow.operators import enrich, windows
+from cityflow.operators import enrich, features, windows
 from cityflow.options import Hop
 from cityflow.plans import dataflows, feeds
 from cityflow.plans.named import query
@@ -144,3 +144,43 @@ def radio_results_from_messages(spark, sf_dir):
     sent = feeds.radio_messages(feeds.event_stream(spark, sf_dir))
     published = writers.drain(dataflows.radio_channel_results(sent, threshold=50), "radio-results")
     return rounded(payloads.decode_channel_results(published, "value"), "average")
+
+
+@query("""WITH sent AS (SELECT CASE event_type WHEN 'click' THEN 'traffic' WHEN 'view' THEN 'tweets' ELSE 'weather' END AS feed,
+  event_id FROM events WHERE event_type IN ('click', 'view', 'purchase')),
+judged AS (SELECT feed, CASE
+  WHEN feed = 'traffic' THEN CASE WHEN event_id % 13 = 0 THEN 'missing cnn_output' WHEN event_id % 7 = 0 THEN 'unreadable cnn_output' END
+  WHEN feed = 'tweets' THEN CASE WHEN event_id % 13 = 0 THEN 'no time' END
+  ELSE nullif(concat_ws(', ', CASE WHEN event_id % 13 = 0 THEN 'missing temp' END,
+    CASE WHEN event_id % 7 = 0 THEN 'unknown summary' END), '') END AS fault FROM sent)
+SELECT feed, fault, count(*) AS n FROM judged WHERE fault IS NOT NULL GROUP BY ALL""")
+def feed_faults(spark, sf_dir):
+    """Messages of the three feeds that lose their time or a value, each with what is wrong."""
+    ev = feeds.events(spark, sf_dir)
+    thirteenth, seventh = F.col("event_id") % 13 == 0, F.col("event_id") % 7 == 0
+
+    def with_attribute(sent, name, value):
+        others = F.map_filter("attributes", lambda k, v: k != name)
+        extra = F.when(value.isNull(), F.map_from_arrays(F.array(), F.array()).cast("map<string,string>")).otherwise(
+            F.create_map(F.lit(name), value))
+        return sent.withColumn("attributes", F.map_concat(others, extra))
+
+    old = lambda name: F.col("attributes")[name]
+    traffic = with_attribute(
+        feeds.traffic_messages(ev), "cnn_output",
+        F.when(thirteenth, F.lit(None).cast("string")).when(seventh, F.lit("n/a")).otherwise(old("cnn_output")),
+    )
+    sent = with_attribute(
+        feeds.tweet_messages(ev), "timestamp_ms", F.when(thirteenth, F.lit("soon")).otherwise(old("timestamp_ms"))
+    )
+    weather = with_attribute(
+        feeds.weather_messages(ev), "temp", F.when(thirteenth, F.lit(None).cast("string")).otherwise(old("temp"))
+    )
+    weather = with_attribute(weather, "summary", F.when(seventh, F.lit("Fog of a kind")).otherwise(old("summary")))
+    found = [
+        features.feed_faults(messages.with_event_time(m, *how), feed).select(F.lit(feed).alias("feed"), "fault")
+        for feed, m, how in (
+            ("traffic", traffic, ()), ("tweets", sent, ("timestamp_ms", "epoch_ms")), ("weather", weather, ()),
+        )
+    ]
+    return found[0].union(found[1]).union(found[2]).groupBy("feed", "fault").agg(F.count(F.lit(1)).alias("n"))

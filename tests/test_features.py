@@ -296,3 +296,18 @@ def test_a_folder_of_files_streams_whole(spark, tmp_path):
     spark.read.parquet(source).repartition(3).write.parquet(f"{tmp_path}/events.parquet")
     whole = drain(feeds.event_stream(spark, str(tmp_path)), "folder")
     assert whole.count() == spark.read.parquet(source).count()
+
+
+def test_faults_of_feeds_are_named(message):
+    from cityflow.sources.messages import with_event_time
+
+    at = "2019-04-01T10:00:00Z"
+    weather = message(
+        (None, {"temp": "51.5", "uv": "2", "wind": "3", "summary": "Rain"}, at),
+        (None, {"temp": "warm", "uv": "2", "summary": "Sleet"}, at),
+        (None, {"temp": "1", "uv": "2", "wind": "3", "summary": "Clear"}, None),
+    )
+    got = [r.fault for r in features.feed_faults(with_event_time(weather), "weather").collect()]
+    assert sorted(got) == ["no time", "unreadable temp, missing wind, unknown summary"]
+    tweets = message((None, {"timestamp_ms": "soon"}, at), (None, {"timestamp_ms": "1554112800000"}, at))
+    assert features.feed_faults(with_event_time(tweets, "timestamp_ms", "epoch_ms"), "tweets").count() == 1
