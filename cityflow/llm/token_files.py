@@ -41,10 +41,8 @@ ORC = {
     "compression": "zstd",
 }
 
-_IRREGULAR = re.compile(r"\s \s?| \s")
-_REGULAR_BLANK = re.compile(r"(?<=\S) (?=\S)")
-# Latin letters up to Latin Extended-B, then marks: two pieces of the byte-level pattern
-_WORD_AND_MARKS = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([.,;:!?]*)")
+BETWEEN = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
+INNER = re.compile(r"\s")
 
 
 def byte_letters() -> dict[int, str]:
@@ -54,91 +52,160 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(others)}
 
 
+class Words(dict):
+    """Numbers of words; a new word gets the next number and is noted.
+
+    A word is kept with what stands before it: a blank (left out of the key) or a
+    line end (the key's first character). Empty words and white space at either
+    side of a word tell that the text is not cut between non-blanks: such words
+    get no number, and ``irregular`` is set.
+    """
+
+    def __init__(self):
+        self.new: list[str] = []
+        self.count, self.irregular = 0, False
+
+    def __missing__(self, word: str) -> int:
+        rest = word[1:] if word[:1] == "\n" else word
+        if not rest or rest[0].isspace() or rest[-1].isspace():
+            self.irregular = True
+            return -1
+        return self.number(word)
+
+    def number(self, word: str) -> int:
+        self[word] = code = self.count
+        self.count += 1
+        self.new.append(word)
+        return code
+
+
 class Encoder:
     """Ids of whole texts from the tokenizers library, each distinct word encoded once.
 
-    The byte-level pattern never joins over a single blank between two
-    non-blanks, so a text's ids are those of the words between such blanks, each
-    with its blank in front. Words repeat: their ids are kept in one pool, and
-    a text's ids are gathered from it. The pool is emptied when it is full.
+    The byte-level pattern never joins over a single blank or line end between
+    two non-blanks, so a text's ids are those of the words between them. Words
+    repeat: their ids are kept in one pool, and a text's ids are gathered from it.
+    What a batch of texts has of new words is encoded in few calls. The pool is
+    emptied when it is full.
     """
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.model._resize_cache(0)  # words are remembered here
-        self.model = self.tokenizer.model
+        # a word of letters is one piece of the pattern: cut before blanks, already in stand-ins
+        self.of_letters = Tokenizer.from_file(path)
+        self.of_letters.model._resize_cache(0)
         self.letters = byte_letters()
+        blank, line_end = self.letters[0x20], self.letters[0x0A]
+        self.of_letters.pre_tokenizer = pre_tokenizers.Split(blank, "merged_with_next")
         self.remembered = remembered
+        # ids whose piece begins with a blank or a line end
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.begins[[i for piece, i in vocabulary.items() if piece[:1] in (blank, line_end)]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}  # words after a blank
-        self.first: dict[str, int] = {}  # words that start a text
-        self.pool, self.starts, self.sizes = array("i"), array("q"), array("q")
-
-    def keep(self, where: dict[str, int], word: str, ids: list[int]) -> int:
-        where[word] = at = len(self.starts)
-        self.starts.append(len(self.pool))
-        self.sizes.append(len(ids))
-        self.pool.extend(ids)
-        return at
-
-    def piece(self, text: str) -> list[int]:
-        mapped = text.encode("utf-8").decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(mapped)]
-
-    def learn(self, word: str) -> int:
-        """Encode a word with its blank; letters and the marks after them are pieces of their own."""
-        found = _WORD_AND_MARKS.fullmatch(word)
-        if not found:
-            ids = self.tokenizer.encode(" " + word, add_special_tokens=False).ids
-            return self.keep(self.known, word, ids)
-        letters, marks = found.groups()
-        if not marks:
-            return self.keep(self.known, word, self.piece(" " + letters))
-        at = self.known.get(letters)
-        if at is None:
-            at = self.keep(self.known, letters, self.piece(" " + letters))
-        start = self.starts[at]
-        ids = list(self.pool[start : start + self.sizes[at]]) + self.piece(marks)
-        return self.keep(self.known, word, ids)
+        self.known, self.odd = Words(), {}
+        self.pool = array("i")
+        self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.end = self.unnamed(np.array([END]))
+
+    def ids(self, text: str, tokenizer=None) -> np.ndarray:
+        found, = (tokenizer or self.tokenizer).encode_batch_fast([text], add_special_tokens=False)
+        return np.array(found.ids, dtype=np.int64)
+
+    def keep(self, codes: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Put the ids of words, one after the other, into the pool."""
+        while len(self.starts) < self.known.count:
+            self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.sizes = np.concatenate([self.sizes, np.zeros_like(self.sizes)])
+        self.starts[codes] = np.cumsum(sizes) - sizes + len(self.pool)
+        self.sizes[codes] = sizes
+        self.pool.frombytes(ids.astype(np.int32).tobytes())
+
+    def unnamed(self, ids: np.ndarray) -> int:
+        """A number for ids that belong to no word."""
+        code = self.known.count
+        self.known.count += 1
+        self.keep(np.array([code]), ids, np.array([len(ids)]))
+        return code
+
+    def learn(self) -> None:
+        """Encode the words noted as new: those without inner white space together."""
+        words, first = self.known.new, self.known.count - len(self.known.new)
+        left = list(range(len(words)))
+        letters = [k for k in left if words[k].isalpha()]
+        mixed = [k for k in left if not words[k].isalpha()]
+        if INNER.search("".join(words[k][1:] for k in mixed)):
+            mixed = [k for k in mixed if not INNER.search(words[k], 1)]
+        done = self.together(words, letters, first, True) | self.together(words, mixed, first, False)
+        for k in left:
+            if k not in done:
+                word = words[k]
+                ids = self.ids(word if word[:1] == "\n" else " " + word)
+                self.keep(np.array([first + k]), ids, np.array([len(ids)]))
+        words.clear()
+
+    def together(self, words: list[str], chosen: list[int], first: int, letters: bool) -> set[int]:
+        """Encode the chosen words as one text; those whose ids were told apart."""
+        done: set[int] = set()
+        for start in range(0, len(chosen), 4096):
+            part = chosen[start : start + 4096]
+            text = "".join([w if w[0] == "\n" else " " + w for w in map(words.__getitem__, part)])
+            if letters:
+                text = text.encode("utf-8").decode("latin-1").translate(self.letters)
+            ids = self.ids(text, self.of_letters if letters else self.tokenizer)
+            heads = np.flatnonzero(self.begins[ids])
+            if len(heads) == len(part):
+                self.keep(np.array(part) + first, ids, np.diff(np.append(heads, len(ids))))
+                done.update(part)
+        return done
 
     def codes(self, text: str) -> list[int]:
-        """Places in the pool of a text's words."""
-        words = _REGULAR_BLANK.split(text) if _IRREGULAR.search(text) else text.split(" ")
-        head = self.first.get(words[0])
-        if head is None:
-            ids = self.tokenizer.encode(words[0], add_special_tokens=False).ids
-            head = self.keep(self.first, words[0], ids)
-        out = list(map(self.known.get, words))
-        out[0] = head
-        if None in out:
-            known, learn = self.known, self.learn
-            for i, code in enumerate(out):
-                if code is None:
-                    word = words[i]
-                    code = known.get(word)
-                    out[i] = learn(word) if code is None else code
-        return out
+        """Numbers of the words of a text that begins with a non-blank; the first stands behind an added line end."""
+        known = self.known
+        known.irregular = False
+        found = list(map(known.__getitem__, ("\n" + text.replace("\n", " \n")).split(" ")))
+        if known.irregular:
+            found = [self.odd_code(w) for w in BETWEEN.split("\n" + text)]
+        return found
+
+    def odd_code(self, word: str) -> int:
+        """The number of a word that may hold white space anywhere."""
+        code = self.known.get(word)
+        if code is None:
+            code = self.odd.get(word)
+        if code is None:
+            code = self.odd[word] = self.known.number(word)
+            del self.known[word]  # a plain cut must not find it
+        return code
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, with its end id, and all ids in a row."""
-        if len(self.starts) > self.remembered or len(self.pool) > 16 * self.remembered:
+        if self.known.count > self.remembered or len(self.pool) > 16 * self.remembered:
             self.clear()
-        end = self.first.get("\0end")
-        if end is None:
-            end = self.keep(self.first, "\0end", [END])
-        rows = [[*self.codes(t), end] if t else [end] for t in texts]
-        codes = np.fromiter(chain.from_iterable(rows), dtype=np.int64)
-        starts, sizes = np.frombuffer(self.starts, np.int64), np.frombuffer(self.sizes, np.int64)
-        each = sizes[codes]
+        # a text that begins with white space is encoded whole: nothing may be put before it
+        led = [bool(t) and not t[0].isspace() for t in texts]
+        rows = [self.codes(t) if cut else [] for t, cut in zip(texts, led)]
+        self.learn()
+        for row, t, cut in zip(rows, texts, led):
+            if t and not cut:
+                row.append(self.unnamed(self.ids(t)))
+            row.append(self.end)
+        places = np.fromiter(chain.from_iterable(rows), dtype=np.int64)
+        lengths = np.array([len(r) for r in rows], dtype=np.int64)
+        starts, each = self.starts[places], self.sizes[places]
+        # what was added in front is one id
+        front = (np.cumsum(lengths) - lengths)[np.array(led, dtype=bool)]
+        starts[front] += 1
+        each[front] -= 1
         past = np.cumsum(each)
-        place = np.arange(past[-1] if len(past) else 0) + np.repeat(starts[codes] - past + each, each)
+        place = np.arange(past[-1] if len(past) else 0) + np.repeat(starts - past + each, each)
         ids = np.frombuffer(self.pool, np.int32)[place]
-        last = np.cumsum([len(r) for r in rows]) - 1
-        return np.diff(past[last], prepend=0), ids
+        return np.diff(past[np.cumsum(lengths) - 1], prepend=0), ids
 
 
 @lru_cache(maxsize=2)
