@@ -49,34 +49,66 @@ RULES = BASE_RULES + ADDED_RULES
 LEDGER = "blob string, kind string, version int, found array<struct<start:int,stop:int>>"
 
 
+#: Matches summed up together; sums of blocks come before those within.
+BLOCK = 256
+
+
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with the value worked out once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def found(text: Column, rule: Rule) -> Column:
-    """Spans of a rule's matches in code points: the pieces between matches give the places."""
-    pieces = F.split(text, rule.pattern, -1)
+    """Spans of a rule's matches in code points: the pieces between matches give the places.
+
+    Places are running sums over the matches. They are taken in blocks, each from
+    the sum of the blocks before, so that the work grows with the matches and not
+    with their square; a text may hold any number.
+    """
     hits = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-    lengths = F.struct(
-        F.transform(pieces, F.length).alias("gap"), F.transform(hits, F.length).alias("hit")
+    part = hits if rule.least <= 1 else F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
+    lengths = F.arrays_zip(
+        F.transform(F.split(text, rule.pattern, -1), F.length).alias("gap"),
+        F.transform(hits, F.length).alias("hit"),
+        F.transform(part, F.length).alias("part"),
     )
-    if rule.least > 1:
-        lengths = F.struct(
-            lengths["gap"].alias("gap"), lengths["hit"].alias("hit"),
-            F.transform(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)), F.length).alias("part"),
-        )
+    none = F.array().cast("array<struct<start:int,stop:int>>")
 
-    def step(state: Column, i: Column) -> Column:
-        start = state["past"] + F.get(lengths["gap"], i)
-        stop = start + F.get(lengths["hit"], i)
-        span = F.array(F.struct(start.alias("start"), stop.alias("stop")))
-        kept = F.concat(state["spans"], span)
+    def step(state: Column, m: Column) -> Column:
+        start = state["past"] + m["gap"]
+        stop = start + m["hit"]
+        kept = F.concat(state["spans"], F.array(F.struct(start.alias("start"), stop.alias("stop"))))
         if rule.least > 1:
-            kept = F.when(F.get(lengths["part"], i) >= rule.least, kept).otherwise(state["spans"])
+            kept = F.when(m["part"] >= rule.least, kept).otherwise(state["spans"])
         return F.struct(stop.alias("past"), kept.alias("spans"))
 
-    none = F.array().cast("array<struct<start:int,stop:int>>")
-    count = F.size(hits)
-    spans = F.aggregate(
-        F.sequence(F.lit(0), count - 1), F.struct(F.lit(0).alias("past"), none.alias("spans")),
-        step, lambda state: state["spans"],
-    )
+    def spans_of(block: Column, base: Column) -> Column:
+        start = F.struct(base.alias("past"), none.alias("spans"))
+        return F.aggregate(block, start, step, lambda state: state["spans"])
+
+    def total(block: Column) -> Column:
+        return F.aggregate(block, F.lit(0), lambda past, m: past + m["gap"] + m["hit"])
+
+    def bases(blocks: Column) -> Column:
+        """The sum of all blocks before each."""
+        sums = F.transform(blocks, total)
+        return F.aggregate(
+            sums, F.array(F.lit(0)), lambda past, n: F.concat(past, F.array(F.element_at(past, -1) + n))
+        )
+
+    def cut(matches: Column) -> Column:
+        # the last piece has no match after it
+        last = F.call_function("div", F.size(matches) - 2, F.lit(BLOCK)).cast("int")
+        matches = F.slice(matches, 1, F.size(matches) - 1)
+        return F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(matches, k * BLOCK + 1, BLOCK))
+
+    def joined(blocks: Column) -> Column:
+        return bound(
+            bases(blocks),
+            lambda base: F.flatten(F.transform(blocks, lambda block, k: spans_of(block, F.get(base, k)))),
+        )
+
+    spans = bound(lengths, lambda matches: bound(cut(matches), joined))
     # most texts match nothing: one pass of the pattern settles that
     return F.when(text.rlike(rule.pattern), spans).otherwise(none)
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -96,3 +97,18 @@ def test_only_unseen_pairs_are_scanned(spark, tmp_path):
     assert sorted(map(tuple, rows())) == [("access", 1, 3), ("assign", 1, 2), ("assign", 2, 3), ("hex", 1, 3)]
     found = {r.path: r.spans for r in secret_scan.findings(more, ledger, newer).collect()}
     assert [tuple(s) for s in found[1]] == [(0, 0, 5, "assign")] and found[1] == found[2] and not found[4]
+
+
+def test_two_megabytes_of_matches(spark, documents):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("0123456789abcdef", k=rng.choice([23, 24, 40]))) for _ in range(68_000)]
+    words[100:40_000:7] = ["password = s3cr3t-é"] * len(words[100:40_000:7])
+    text = "é ".join(words)
+    start = time.time()
+    row, = secret_scan.digest(documents((1, text))).collect()
+    took = time.time() - start
+    spans = [("hex", m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 24]
+    assert len(text) > 1_800_000 and row.n_hex == len(spans) > 20_000 and row.n_assign == text.count("s3cr3t")
+    listed = [s.split(":") for s in row.spans.split(",")]
+    assert [(k, (int(a), int(b))) for k, a, b in listed if k == "hex"] == spans
+    assert took < 60
