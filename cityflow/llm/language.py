@@ -13,10 +13,10 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cityflow.llm.common import held_out, map_texts, sample_for_fit
+from cityflow.llm.common import held_out, map_texts
 from cityflow.session import settle
 
 FIT_ROWS = 20_000
@@ -176,9 +176,30 @@ def fit(rows: list[Sparse], lang: list[str], rounds: int = 60, rate: float = 20.
     return Codes(languages, code, weights, bias, trust / max(trust.mean(), 1e-9))
 
 
+def by_language(known: DataFrame, bound: int) -> DataFrame:
+    """``doc_id``: at most ``bound`` ids, drawn by hash alike from every language.
+
+    First one id of each language, then a second, and so on: a rare language is
+    learnt from a large table as from a small one. Where there are more languages
+    than ``bound``, those with the least hashes count. Most rows of a common
+    language drop out by their hash before any are ordered.
+    """
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    draw = F.pmod(F.xxhash64(F.lit("draw"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # on average four times what a language can come to; few rows of it all stay
+    likely = known.select("doc_id", "lang", draw.alias("draw")).join(sizes, "lang")
+    likely = likely.where(F.col("draw") * F.col("size") < F.lit(4.0 * bound))
+    mark = F.xxhash64(F.lit("fit"), "doc_id")
+    order = Window.partitionBy("lang").orderBy("draw", mark, "doc_id")
+    ranked = likely.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= bound)
+    return ranked.orderBy("rank", mark, "doc_id").limit(bound).select("doc_id").distinct()
+
+
 def learn(docs: DataFrame, bound: int = FIT_ROWS) -> Codes:
     """Fit on texts with a known language outside the held-out fold, at most ``bound`` of them.
 
+    Languages are drawn from alike, see :func:`by_language`.
+
     The n-gram shares of the sample come to the driver sparse: about a thousand
     numbers a text. Of rows that repeat an id one counts, the least by language
     and shares.
@@ -186,7 +207,7 @@ def learn(docs: DataFrame, bound: int = FIT_ROWS) -> Codes:
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
     known = known.where(F.col("doc_id").isNotNull())
     # at most ``bound`` ids: small enough to send to every task
-    chosen = F.broadcast(sample_for_fit(known.select("doc_id"), bound).distinct())
+    chosen = F.broadcast(by_language(known, bound))
     rows = known.select("doc_id", "text", "lang").join(chosen, "doc_id", "left_semi")
 
     def make():

@@ -198,13 +198,14 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9, recall: float = 0.9
     hold null or non-finite components link with nothing; vectors of
     different lengths never link. A null vec_id is carried: its row links, but
     names no component unless no id is known, where the component is null.
-    Repeated rows count as other vectors. An empty table gives an empty result.
+    Repeated rows count as other vectors, and so do rows that repeat an id. An empty table gives an empty result.
     """
     good = usable(vectors)
-    # one id a class; rows that repeat it stay copies of the class
+    # a class is named by a number of its own, fixed as the table is written: one
+    # vec_id may have several vectors; the smallest id counts at the end only
     classes = settle(
         good.groupBy("v").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
-        .withColumn("rep", F.coalesce("least", F.xxhash64("v")))
+        .withColumn("rep", F.monotonically_increasing_id())
         .select("rep", "least", "copies", "v"),
         "classes",
     )

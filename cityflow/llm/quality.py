@@ -228,7 +228,8 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = FIT_ROWS) -> Additive
     Only the figures of the sampled rows come to the driver.
     """
     known = sample_for_fit(distinct_labels(labels, "quality").where(~held_out()), bound)
-    rows = docs.select("doc_id", "text").join(known, "doc_id")
+    # ``bound`` rows of two numbers at most: sent to the texts, which stay where they are
+    rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
 
     def make():
         return lambda ids, texts, y: {"doc_id": ids, "x": [features(t) for t in texts], "y": y}

@@ -298,7 +298,10 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = FIT_ROWS) -> Network:
     chosen = known.where("label = 1").orderBy(*mark).limit(bound).union(
         known.where("label = 0").orderBy(*mark).limit(bound)
     )
-    rows = settle(near.dropDuplicates(["doc_id"]).join(chosen, "doc_id"), "toxic-sample")
+    # twice ``bound`` ids at most: sent to the texts; of texts that repeat an id one counts, by hash
+    sampled = near.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+    first = F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")
+    rows = settle(sampled.agg(first).select("doc_id", "text", "label"), "toxic-sample")
     words, grams = odds_of(rows)
     net = fresh(words, grams)
     if set(totals) != {0, 1}:

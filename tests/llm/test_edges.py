@@ -76,6 +76,25 @@ def test_near_duplicates_keep_one_row(spark, odd):
     assert sorted((r.doc_id for r in kept), key=repr) == sorted([1, 5, 7, 8, 9, None], key=repr)
 
 
+def test_ids_with_several_vectors(spark):
+    e1, e2, near1, near2 = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [1.0, 0.01, 0.0], [0.0, 1.0, 0.01]
+    rows = [(1, e1), (1, e2), (2, near1), (3, near2), (1, [0.0, 0.0, 1.0])]
+    got = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(1, 0, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1)]
+
+
+def test_samples_do_not_depend_on_the_dealing(documents, labels):
+    rows = documents(*((i, f"{w} text number {i}", "en" if i % 2 else "fr") for i in range(1, 9) for w in ("one", "other")))
+    texts = [w for n in (1, 3, 7) for w in [toxicity.learn(rows.repartition(n), labels).top.tolist()]]
+    assert texts[0] == texts[1] == texts[2]
+
+
+def test_rare_languages_are_drawn(documents):
+    rows = documents(*((i, "some text", "xx" if i in (11, 500) else "en") for i in range(3000)))
+    drawn = {r.doc_id for r in language.by_language(rows, 10).collect()}
+    assert len(drawn) == 10 and {11, 500} <= drawn
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, [0.0, 0.0]), (3, [None, 1.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, []),
