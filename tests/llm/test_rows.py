@@ -81,10 +81,12 @@ def test_containment_finds_all(spark, documents, seed):
         docs.append((d, ", ".join(text[:at] + [p.upper() for p in part] + text[at:])))
     want = set()
     for d, t in docs:
-        held = set(decontaminate.shingles(t))
+        said = t.lower().replace(",", "").split()
         for i, item in items:
-            wanted = set(decontaminate.shingles(item))
-            if len(wanted & held) >= 0.8 * len(wanted) - 1e-9:
+            w = min(5, len(item.split()))
+            rows_of = lambda x: {tuple(x[k : k + w]) for k in range(len(x) - w + 1)}
+            wanted = rows_of(item.split())
+            if len(wanted & rows_of(said)) >= 0.8 * len(wanted) - 1e-9:
                 want.add((d, i))
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     got = decontaminate.matches(documents(*docs), benchmark).collect()
@@ -99,6 +101,16 @@ def test_blocks_of_items_find_the_same(spark, documents, monkeypatch):
     whole = sorted(map(tuple, decontaminate.matches(docs, items).collect()))
     monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 4)
     assert sorted(map(tuple, decontaminate.matches(docs, items).collect())) == whole and len(whole) == 30
+    more = docs.union(documents((50, "nothing of it is in here at all"), (51, None), (52, ""), (53, "a3 b c d")))
+    assert sorted(r.doc_id for r in decontaminate.clean(more, items).collect()) == [50, 51, 52, 53]
+
+
+def test_short_items_inside_long_texts(spark, documents):
+    items = spark.createDataFrame([(1, "The secret answer"), (2, "word"), (3, "!"), (4, "one two three four five")], "item_id long, text string")
+    docs = documents((10, "it held, at last, the Secret -- answer; that was all"), (11, "the answer secret"), (12, "a word"), (13, "one two three four"))
+    got = sorted((r.doc_id, r.item_id, r.n_item) for r in decontaminate.matches(docs, items).collect())
+    assert got == [(10, 1, 1), (12, 2, 1)]
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [11, 13]
 
 
 def test_equal_items_are_one_row_of_a_block(spark, documents, monkeypatch):
@@ -111,7 +123,7 @@ def test_equal_items_are_one_row_of_a_block(spark, documents, monkeypatch):
     assert [r.doc_id for r in decontaminate.clean(docs, items).collect()] == [2]
 
 
-ODD_TEXTS = ["", "a", "  a", " a", "a ", "a  b", "a\n b", "it's <|endoftext|> ok", "don't, we'll...what?!", "12,34 5,6!", "a\t b",
+ODD_TEXTS = ["\n", "\na", "a\n", "a\nb\nc\n\nd", "a\n's", "a \nb", "a\x1c\nc", "a <|endoftext|>\nb", "", "a", "  a", " a", "a ", "a  b", "a\n b", "it's <|endoftext|> ok", "don't, we'll...what?!", "12,34 5,6!", "a\t b",
              "ñ, é. ß!", "日本 語", "\n\n a \n", "word,'s", "o'clock's", None, "€5,00 ok", "ABC!'s", "x\x1c y\x85 z", "ª, º", "ab́c, d"]
 
 
