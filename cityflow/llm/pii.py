@@ -224,7 +224,8 @@ def scan(docs: DataFrame) -> DataFrame:
     """``doc_id``, counts of the base kinds, ``base_sha256``, ``spans``, ``n_url``, ``n_account``.
 
     One row per row of ``docs``, without a shuffle. Spans of different kinds may
-    overlap. Null and empty texts have no span (and the hash of an empty string).
+    overlap. Null and empty texts have no span (and the hash of an empty string);
+    long texts are searched whole, repeated rows stay repeated, null ids are carried.
     """
     fields = [f"n_{k}" for k in BASE]
 

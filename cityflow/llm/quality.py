@@ -260,7 +260,11 @@ def score(docs: DataFrame, model: Additive, threshold: float = THRESHOLD) -> Dat
 
 
 def accepted(docs: DataFrame, model: Additive, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` without those the model rejects; columns unchanged, no shuffle."""
+    """``docs`` without those the model rejects; columns unchanged, no shuffle.
+
+    Null and empty texts are judged as texts without words, long texts whole;
+    repeated rows share their fate, ids (null ones too) don't matter. No rows: no rows.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

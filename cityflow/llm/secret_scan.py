@@ -187,8 +187,10 @@ def findings(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> D
 def digest(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` per row of ``docs``, and the added kinds' counts.
 
-    Scans into ``ledger``, a fresh one in the shared folder by default. Empty
-    texts have no span; repeated rows and copies get equal results.
+    Scans into ``ledger``, a fresh one in the shared folder by default. Null and
+    empty texts have no span; long texts are scanned whole, in time that grows with
+    their length; repeated rows and copies get equal results, null ids are carried.
+    No rows: no rows.
     """
     ledger = ledger or run_dir(docs.sparkSession, "secret-ledger")
     update(docs, ledger)
