@@ -1088,4 +1088,4 @@ def dedup_stream(spark, sf_dir):
 
 
 # These register queries of their own, built with the names above.
-from cityflow.plans import analysis_queries, image_queries, stream_queries  # noqa: E402, F401
+from cityflow.plans import analysis_queries, image_queries, sink_queries, stream_queries  # noqa: E402, F401
