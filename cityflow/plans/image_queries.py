@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cityflow.operators import imaging
+from cityflow.operators import imaging, spectral
 from cityflow.plans import dataflows, feeds
 from cityflow.plans.named import query
 from cityflow.plans.registry import _PIXELS, rounded
@@ -50,3 +50,23 @@ def deep_slice(spark, sf_dir):
     lines = feeds.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
     half = lines.count() // 2
     return imaging.sorted_slice(lines, ["l_shipdate", "l_orderkey", "l_linenumber"], half, half + 4000)
+
+
+_TURN = "2 * pi() * i / 31"
+_TAPER32 = f"(0.35875 - 0.48829 * cos({_TURN}) + 0.14128 * cos(2 * {_TURN}) - 0.01168 * cos(3 * {_TURN}))"
+
+
+@query(f"""WITH taper AS (SELECT i, {_TAPER32} AS w FROM range(32) t(i)),
+x AS (SELECT vec_id, i, embedding[i + 1]::DOUBLE * w AS re, embedding[i + 33]::DOUBLE * w AS im FROM embeddings, taper),
+f AS (SELECT vec_id, k, sum(re * cos(2 * pi() * k * i / 32) + im * sin(2 * pi() * k * i / 32)) AS re,
+  sum(im * cos(2 * pi() * k * i / 32) - re * sin(2 * pi() * k * i / 32)) AS im FROM x, range(32) b(k) GROUP BY ALL)
+SELECT vec_id, ((k + 16) % 32)::INTEGER AS bin,
+  round(10 * log10(greatest(re * re + im * im, 1e-18)), 4) + 0.0::DOUBLE AS power FROM f""")
+def iq_power(spark, sf_dir):
+    """Power spectra of complex frames: a vector's first half is in phase, its second in quadrature."""
+    whole = F.col("embedding").cast("array<double>")
+    frames = feeds.table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.slice(whole, 1, 32).alias("re"), F.slice(whole, 33, 32).alias("im")
+    )
+    bins = spectral.power_spectrum(frames, "re", "im").select("vec_id", F.posexplode("power").alias("bin", "power"))
+    return bins.withColumn("power", F.round("power", 4) + F.lit(0.0))
