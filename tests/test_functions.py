@@ -1,5 +1,8 @@
 import math
+import os
+import re
 from datetime import datetime
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -123,3 +126,39 @@ def test_mean_or_nan(spark):
     for frame_of_means in (native, stats.mean_per_key(frame, "k", "v")):
         got = {r.k: r.mean for r in frame_of_means.collect()}
         assert got["a"] == 1.5 and math.isnan(got["b"])
+
+
+class _Parsed(HTMLParser):
+    """A page's text as the standard library's parser finds it: markup is a gap, scripts and styles are none."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.parts, self.hidden = [], False
+        self.feed(page)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.parts.append(" ")
+        self.hidden = tag in ("script", "style")
+
+    def handle_endtag(self, tag):
+        self.parts.append(" ")
+        self.hidden = False
+
+    def handle_comment(self, data):
+        self.parts.append(" ")
+
+    handle_decl = handle_pi = handle_comment
+
+    def handle_data(self, data):
+        self.parts.append("" if self.hidden else data)
+
+    def text(self):
+        return re.sub("[ \t\r\n]+", " ", "".join(self.parts)).strip(" ")
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="driver tables not present")
+def test_page_text_equals_a_parsers(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    got = pages.select("html", text.page_text(F.col("html")).alias("text")).collect()
+    assert len(got) > 100 and all(r.text == _Parsed(r.html).text() for r in got)
