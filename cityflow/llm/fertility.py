@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from cityflow.llm.common import arrow_types, pieces
+from cityflow.llm.token_files import BETWEEN, INNER, Words
 
 BYTE_VOCABULARY = "byte_bpe_50k.tiktoken"
 PIECE_VOCABULARY = "piece_bpe_32k.model"
@@ -36,8 +37,8 @@ BLANKS = " \t\n\x0b\x0c\r"
 LEAST_WORDS, WINDOW, REPEATED_PERCENT = 20, 8, 30
 #: Characters measured at a time; a longer text is cut before single blanks and its counts are added.
 PART = 1 << 20
-#: Words a worker remembers, of both vocabularies together.
-REMEMBERED = 800_000
+#: Words a worker remembers.
+REMEMBERED = 400_000
 #: The piece vocabulary's sign for a blank.
 BLANK_PIECE = "\u2581"
 
@@ -135,7 +136,6 @@ class Vocabularies:
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=piece_path)
         names = [self.pieces.IdToPiece(i) for i in range(self.pieces.GetPieceSize())]
         self.fallback = np.array([self.pieces.IsByte(i) for i in range(len(names))])
-        self.blank = names.index(BLANK_PIECE)
         self.byte_begins = np.zeros(max(ranks.values()) + 1, dtype=bool)
         self.byte_begins[[i for b, i in ranks.items() if b[:1] in (b" ", b"\n")]] = True
         self.piece_begins = np.array([n.startswith(BLANK_PIECE) or n == "<0x0A>" for n in names])
@@ -143,9 +143,11 @@ class Vocabularies:
         self.clear()
 
     def clear(self) -> None:
-        self.byte_counts: dict[str, int] = {}
-        self.piece_codes: dict[str, int] = {}
-        self.pool, self.starts, self.sizes = array("i"), array("q"), array("q")
+        self.known = Words()
+        self.odd: dict[str, int] = {}
+        self.pool = array("i")
+        size = 1 << 16
+        self.starts, self.sizes, self.byte_counts = (np.zeros(size, np.int64) for _ in range(3))
 
     def byte_ids(self, text: str) -> np.ndarray:
         return self.bytes.encode_to_numpy(text, disallowed_special=())
@@ -153,64 +155,88 @@ class Vocabularies:
     def piece_ids(self, text: str) -> np.ndarray:
         return np.array(self.pieces.encode(text), dtype=np.int64)
 
-    def keep(self, words: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        at = len(self.starts)
-        self.piece_codes.update(zip(words, range(at, at + len(words))))
-        self.starts.frombytes((np.cumsum(sizes) - sizes + len(self.pool)).astype(np.int64).tobytes())
-        self.sizes.frombytes(sizes.astype(np.int64).tobytes())
+    def learn(self) -> None:
+        """Encode the words noted as new, under both vocabularies: those without inner white space together."""
+        words, first = self.known.new, self.known.count - len(self.known.new)
+        while len(self.starts) < self.known.count:
+            self.starts, self.sizes, self.byte_counts = (
+                np.concatenate([a, np.zeros_like(a)]) for a in (self.starts, self.sizes, self.byte_counts)
+            )
+        plain = list(range(len(words)))
+        if INNER.search("".join([w[1:] for w in words])):
+            plain = [k for k in plain if not INNER.search(words[k], 1)]
+        for of, done in ((self.bytes_of, set()), (self.pieces_of, set())):
+            for start in range(0, len(plain), 4096):
+                part = plain[start : start + 4096]
+                text = "".join([w if w[0] == "\n" else " " + w for w in map(words.__getitem__, part)])
+                if of(text, np.array(part) + first, True):
+                    done.update(part)
+            for k, word in enumerate(words):
+                if k not in done:
+                    of(word if word[:1] == "\n" else " " + word, np.array([first + k]), False)
+        words.clear()
+
+    def bytes_of(self, text: str, codes: np.ndarray, together: bool) -> bool:
+        ids = self.byte_ids(text)
+        heads = np.flatnonzero(self.byte_begins[ids]) if together else np.array([0])
+        if len(heads) != len(codes):
+            return False
+        self.byte_counts[codes] = np.diff(np.append(heads, len(ids)))
+        return True
+
+    def pieces_of(self, text: str, codes: np.ndarray, together: bool) -> bool:
+        # the vocabulary puts a blank before a text by itself; a letter leads here that takes it
+        ids = self.piece_ids("a" + text)[1:]
+        heads = np.flatnonzero(self.piece_begins[ids]) if together else np.array([0])
+        if len(heads) != len(codes) or heads[0]:
+            return False
+        self.starts[codes] = heads + len(self.pool)
+        self.sizes[codes] = np.diff(np.append(heads, len(ids)))
         self.pool.frombytes(ids.astype(np.int32).tobytes())
-
-    def learn_bytes(self, words: list[str]) -> None:
-        plain = [w for w in words if joins(w)]
-        for start in range(0, len(plain), 4096):
-            part = plain[start : start + 4096]
-            ids = self.byte_ids("".join(w if w[0] == "\n" else " " + w for w in part))
-            heads = np.flatnonzero(self.byte_begins[ids])
-            if len(heads) == len(part):
-                self.byte_counts.update(zip(part, np.diff(np.append(heads, len(ids))).tolist()))
-        for w in words:
-            if w not in self.byte_counts:
-                self.byte_counts[w] = len(self.byte_ids(w if w[:1] == "\n" else " " + w))
-
-    def learn_pieces(self, words: list[str]) -> None:
-        plain = [w for w in words if joins(w)]
-        for start in range(0, len(plain), 4096):
-            part = plain[start : start + 4096]
-            # the vocabulary puts a blank before a text by itself; a word leads here that takes it
-            ids = self.piece_ids("a" + "".join(w if w[0] == "\n" else " " + w for w in part))[1:]
-            heads = np.flatnonzero(self.piece_begins[ids])
-            if len(heads) == len(part) and not heads[:1].any():
-                self.keep(part, ids, np.diff(np.append(heads, len(ids))))
-        for w in words:
-            if w not in self.piece_codes:
-                ids = self.piece_ids(w) if w else np.array([self.blank])
-                ids = ids[1:] if w[:1] == "\n" and ids[0] == self.blank else ids
-                self.keep([w], ids, np.array([len(ids)]))
+        return True
+
+    def codes(self, text: str) -> list[int]:
+        """Numbers of a text's words, and last that of its first word behind a line end."""
+        known = self.known
+        known.irregular = False
+        found = list(map(known.__getitem__, text.replace("\n", " \n").split(" ")))
+        if known.irregular:
+            cut = BETWEEN.split(text)
+            return [*map(self.odd_code, cut), self.odd_code("\n" + cut[0])]
+        found.append(known["\n" + text.split(" ", 1)[0].split("\n", 1)[0]])
+        return found
+
+    def odd_code(self, word: str) -> int:
+        """The number of a word that may hold white space anywhere."""
+        code = self.known.get(word, self.odd.get(word))
+        if code is None:
+            code = self.odd[word] = self.known.number(word)
+            del self.known[word]  # a plain cut must not find it
+        return code
 
     def measure(self, texts: list[str]) -> list[tuple[int, int, int, float]]:
         """Per text: tokens of both vocabularies, fallback bytes, entropy as a share of the greatest."""
-        if len(self.byte_counts) + len(self.starts) > self.remembered or len(self.pool) > 8 * self.remembered:
+        if self.known.count > self.remembered or len(self.pool) > 16 * self.remembered:
             self.clear()
-        cut = [words(t) if t and len(t) <= PART and not t[0].isspace() and BLANK_PIECE not in t else None for t in texts]
-        first = [["\n" + w[0], *w[1:]] if w else [] for w in cut]
-        new = {w for row in first for w in row if w not in self.byte_counts}
-        if new:
-            self.learn_bytes(list(new))
-        new = {w for row in cut if row for w in row if w not in self.piece_codes}
-        if new:
-            self.learn_pieces(list(new))
-        pool, starts, sizes = (np.frombuffer(x, d) for x, d in ((self.pool, np.int32), (self.starts, np.int64), (self.sizes, np.int64)))
-        out = []
-        for text, led, row in zip(texts, first, cut):
-            if row is None:
+        whole = [bool(t) and len(t) <= PART and not t[0].isspace() and BLANK_PIECE not in t for t in texts]
+        rows = [self.codes(t) for t, cut in zip(texts, whole) if cut]
+        self.learn()
+        pool = np.frombuffer(self.pool, np.int32)
+        at = np.fromiter(chain.from_iterable(rows), np.int64)
+        counts, starts, sizes = self.byte_counts[at], self.starts[at], self.sizes[at]
+        out, stop = [], 0
+        rows = iter(rows)
+        for text, cut in zip(texts, whole):
+            if not cut:
                 out.append(self.measure_parts(text))
                 continue
-            codes = np.fromiter(map(self.piece_codes.__getitem__, row), np.int64, len(row))
-            each = sizes[codes]
+            start, stop = stop, stop + len(next(rows))
+            # the first word counts behind a line end, which is one token, and not behind a blank
+            byte_tokens = int(counts[start:stop].sum() - counts[start] - 1)
+            each = sizes[start : stop - 1]
             past = np.cumsum(each)
-            ids = pool[np.arange(past[-1]) + np.repeat(starts[codes] - past + each, each)]
-            # the added line end is one token
-            out.append((sum(map(self.byte_counts.__getitem__, led)) - 1, *self.shape(*np.unique(ids, return_counts=True))))
+            ids = pool[np.arange(past[-1]) + np.repeat(starts[start : stop - 1] - past + each, each)]
+            out.append((byte_tokens, *self.shape(*np.unique(ids, return_counts=True))))
         return out
 
     def measure_parts(self, text: str) -> tuple[int, int, int, float]:
@@ -230,22 +256,6 @@ class Vocabularies:
         return total, int(counts[self.fallback[ids]].sum()), level
 
 
-#: A blank or line end beside white space: then a text is cut by pattern, not by one replacement.
-_IRREGULAR = re.compile(r"[ \n]\s|\s[ \n]")
-_BETWEEN = re.compile(r"(?<=\S) (?=\S)|(?<=\S)(?=\n\S)")
-_INNER = re.compile(r"\s")
-
-
-def words(text: str) -> list[str]:
-    """A text that begins with a non-blank, cut into the keys of its words."""
-    return _BETWEEN.split(text) if _IRREGULAR.search(text) else text.replace("\n", " \n").split(" ")
-
-
-def joins(word: str) -> bool:
-    """Whether a key has no white space but a line end in front."""
-    return bool(word[1:]) and not _INNER.search(word, 1) and (word[0] == "\n" or not _INNER.match(word))
-
-
 @lru_cache(maxsize=2)
 def vocabularies(byte_path: str, piece_path: str) -> Vocabularies:
     return Vocabularies(byte_path, piece_path)
