@@ -26,6 +26,16 @@ def unique_lookup(lookup: DataFrame, key: str) -> DataFrame:
     return checked.filter("_once").select(key, "_rec.*")
 
 
+def _copies(records: DataFrame, salt: int) -> DataFrame:
+    """Each record once per ``_salt`` from 0.
+
+    By a join with the numbers, not by exploding them: Spark's estimate of the
+    size then counts the copies, and only copies that are small are broadcast.
+    """
+    numbers = records.sparkSession.range(salt).select(F.col("id").cast("int").alias("_salt"))
+    return records.crossJoin(F.broadcast(numbers))
+
+
 def enrich(
     stream: DataFrame,
     lookup: DataFrame,
@@ -57,7 +67,7 @@ def enrich(
         # by draw, not by value: equal rows spread too, and any draw joins alike
         spread = F.floor(F.rand(7) * salt).cast("int")
         left = stream.withColumn("_salt", spread)
-        right = records.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        right = _copies(records, salt)
     if on_missing == "drop":
         return left.join(right, keys, "inner").drop("_salt")
     found = left.join(right.withColumn("_found", F.lit(True)), keys, "left")
@@ -80,7 +90,7 @@ def enrich_or_fault(stream: DataFrame, lookup: DataFrame, key: str, salt: int =
     if salt > 1:
         keys = [key, "_salt"]
         left = stream.withColumn("_salt", F.floor(F.rand(7) * salt).cast("int"))
-        records = records.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        records = _copies(records, salt)
     fault = F.when(F.col("_found").isNull(), F.lit(NO_RECORD)).alias("fault")
     joined = left.join(records, keys, "left")
     kept = [c for c in joined.columns if c not in ("_found", "_salt")]

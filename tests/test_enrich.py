@@ -96,3 +96,21 @@ def test_equal_rows_spread_over_all_salts(spark):
     spread = F.floor(F.rand(7) * 8).cast("int")
     assert stream.select(spread.alias("s")).distinct().count() == 8
     assert enrich.enrich(stream, lookup, "k", salt=8).count() == 1000
+
+
+@pytest.mark.parametrize("join", [enrich.enrich, enrich.enrich_or_fault])
+def test_copies_of_a_lookup_count_towards_its_broadcast(spark, tmp_path, join):
+    """The lookup alone is below the limit of a broadcast, its copies are not."""
+    lookup = spark.range(20_000).select(F.col("id").alias("k"), F.format_string("record %09d", "id").alias("v"))
+    lookup.write.parquet(str(tmp_path / "lookup"))
+    stored = spark.read.parquet(str(tmp_path / "lookup"))
+    size = sum(f.stat().st_size for f in (tmp_path / "lookup").glob("*.parquet"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(2 * size))
+    try:
+        joined = join(spark.range(500_000).withColumnRenamed("id", "k"), stored, "k", salt=8)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+    assert joined.where("v = format_string('record %09d', k)").count() == 20_000
