@@ -5,6 +5,8 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
@@ -132,59 +134,135 @@ def exact_medoids(
 ) -> dict[int, tuple[float, ...]]:
     """Per ``cluster`` the member with the least sum of Euclidean distances to all members.
 
-    Exact, without comparing all pairs: once the sum S of one member c is known,
-    every other member x has a sum of |S - n d(x, c)| at least (the triangle
-    inequality, summed up), and members whose bound lies above the best sum are
-    out. A round sums up ``batch`` members per cluster in one pass, those of least
-    bound first, beginning near the mean. Only those come to the driver. Members
-    with equal sums are told apart by their coordinates; rows that lack a value
-    don't count.
+    Exact, without comparing all pairs. The sum is a convex function of the place:
+    once the sum S and the slope g at a member c are known, every other member x
+    has a sum of S + g (x - c) at least, and (the triangle inequality, summed up)
+    one of |S - n d(x, c)| at least. Members whose bound lies above the best sum
+    are out. A round sums up ``batch`` members per cluster in one pass: half of
+    them next to where the sum falls to from the best one (at first the mean),
+    where slopes are small, and those of least bound. Only those come to the
+    driver, and equal members are one row with their number. Members with equal
+    sums are told apart by their coordinates; rows that lack a value don't count.
     """
     columns = list(columns)
-    rows = settle(assigned.select("cluster", *columns).dropna(), "members")
-    members = rows.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in columns])
+    given = assigned.select("cluster", *columns).dropna()
+    rows = settle(given.groupBy("cluster", *columns).agg(F.count(F.lit(1)).alias("_times")), "members")
+    times = F.sum("_times")
+    members = rows.groupBy("cluster").agg(
+        times.alias("n"), *[(F.sum(F.col(c) * F.col("_times")) / times).alias(c) for c in columns]
+    )
     sizes = {r["cluster"]: r for r in members.collect()}
     if not sizes:
         return {}
-    spark, point = rows.sparkSession, "array<double>"
-    here = F.array(*[F.col(c).cast("double") for c in columns])
-
-    def apart(other):
-        return F.sqrt(F.aggregate(
-            F.zip_with(here, other, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, d: s + d
-        ))
-
-    means = spark.createDataFrame(
-        [(k, [float(r[c]) for c in columns]) for k, r in sizes.items()], f"cluster INT, mean {point}"
-    )
-    left = rows.distinct().join(F.broadcast(means), "cluster").select(
-        "cluster", *columns, F.lit(0.0).alias("_low"), apart(F.col("mean")).alias("_near")
-    )
+    near = {k: np.array([float(r[c]) for c in columns]) for k, r in sizes.items()}
     best: dict[int, tuple[float, tuple[float, ...]]] = {}
-    order = Window.partitionBy("cluster").orderBy("_low", "_near", *columns)
+    left = rows.select("cluster", *columns, F.lit(0.0).alias("_low"))
     while True:
-        left = settle(left, "medoid-candidates")
-        first = left.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= batch)
-        chosen = [(r["cluster"], [float(r[c]) for c in columns]) for r in first.collect()]
+        chosen = _chosen(left, near, columns, batch)
         if not chosen:
             return {k: p for k, (_, p) in best.items()}
-        listed = spark.createDataFrame(chosen, f"cluster INT, p {point}")
-        sums = rows.join(F.broadcast(listed), "cluster").groupBy("cluster", "p").agg(F.sum(apart(F.col("p"))).alias("s"))
-        found = [(r["cluster"], r["p"], r["s"]) for r in sums.collect()]
-        for k, p, s in found:
-            best[k] = min(best.get(k, (float("inf"), ())), (s, tuple(p)))
-        known = spark.createDataFrame(
-            [(k, [(p, s) for j, p, s in found if j == k], float(sizes[k]["n"]), best[k][0] * (1 + 1e-9))
-             for k in {k for k, _, _ in found}],
-            f"cluster INT, known array<struct<p: {point}, s: double>>, n double, best double",
-        )
-        bound = F.array_max(F.transform("known", lambda c: F.abs(c["s"] - F.col("n") * apart(c["p"]))))
-        new = F.array_min(F.transform("known", lambda c: apart(c["p"]))) > 0
-        left = (
-            left.join(F.broadcast(known), "cluster").where(new)
-            .withColumn("_low", F.greatest("_low", bound)).where(F.col("_low") <= F.col("best"))
-            .select("cluster", *columns, "_low", "_near")
-        )
+        sums = _distance_sums(rows, chosen, columns)
+        for k, found in sums.items():
+            at = min((s, tuple(map(float, p))) for p, s, _, _ in found)
+            if k not in best or at < best[k]:
+                best[k] = at
+                near[k] = next(fall for p, _, _, fall in found if tuple(map(float, p)) == at[1])
+        known = {
+            k: (np.array([p for p, *_ in found]), np.array([s for _, s, _, _ in found]),
+                np.array([g for _, _, g, _ in found]), sizes[k]["n"], best[k][0] * (1 + 1e-9))
+            for k, found in sums.items()
+        }
+        left = settle(_not_out(left, known, columns), "medoid-candidates")
+
+
+def _chosen(left: DataFrame, near: dict, columns: list[str], batch: int) -> dict[int, np.ndarray]:
+    """Per cluster up to ``batch`` candidates, those next to its place in ``near`` and those of least bound."""
+    spark = left.sparkSession
+    places = spark.createDataFrame([(k, *map(float, p)) for k, p in near.items()], ["_k", *[f"_to_{c}" for c in columns]])
+    way = sum((F.pow(F.col(c) - F.col(f"_to_{c}"), 2) for c in columns), F.lit(0.0))
+    seen = left.join(F.broadcast(places), F.col("cluster") == F.col("_k")).select("cluster", *columns, "_low", way.alias("_way"))
+
+    def first(order: list[str], n: int) -> DataFrame:
+        place = F.row_number().over(Window.partitionBy("cluster").orderBy(*order, *columns))
+        return seen.withColumn("_rank", place).where(F.col("_rank") <= n).select("cluster", *columns)
+
+    half = max(1, batch // 2)
+    found = first(["_way"], half)
+    if batch > half:
+        found = found.union(first(["_low", "_way"], batch - half)).distinct()
+    chosen: dict[int, list] = {}
+    for r in found.collect():
+        chosen.setdefault(r["cluster"], []).append([float(r[c]) for c in columns])
+    return {k: np.array(sorted(p)) for k, p in chosen.items()}
+
+
+def _points(batch: pa.RecordBatch, columns: list[str], clusters: dict):
+    """The rows of a batch by cluster: ``cluster, row numbers, coordinates``."""
+    own = batch.column("cluster").to_numpy(zero_copy_only=False)
+    places = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in columns])
+    for k in clusters:
+        at = np.flatnonzero(own == k)
+        if len(at):
+            yield k, at, places[at]
+
+
+def _distance_sums(rows: DataFrame, chosen: dict, columns: list[str]) -> dict[int, list[tuple]]:
+    """Per cluster ``(place, sum of distances, slope there, where the sum falls to)`` of the chosen members.
+
+    The slope is that of the distances to other members, and the last the mean of
+    those weighted by their nearness (Weiszfeld's step).
+    """
+    dims = len(columns)
+
+    def run(batches):
+        for batch in batches:
+            times = batch.column("_times").to_numpy()
+            out: dict[str, list] = {"cluster": [], "i": [], "sums": []}
+            for k, at, own in _points(batch, columns, chosen):
+                for i, c in enumerate(chosen[k]):
+                    apart = np.sqrt(((own - c) ** 2).sum(axis=1))
+                    weight = times[at] * np.divide(1.0, apart, out=np.zeros(len(apart)), where=apart > 0)
+                    out["cluster"].append(k)
+                    out["i"].append(i)
+                    # distances, weights, and offsets by weight
+                    out["sums"].append([float((times[at] * apart).sum()), float(weight.sum()), *(weight @ (own - c)).tolist()])
+            yield pa.RecordBatch.from_pydict(
+                out, pa.schema([("cluster", pa.int32()), ("i", pa.int32()), ("sums", pa.list_(pa.float64()))])
+            )
+
+    parts = rows.mapInArrow(run, "cluster int, i int, sums array<double>")
+    whole = parts.groupBy("cluster", "i").agg(*[F.sum(F.col("sums")[j]).alias(f"s{j}") for j in range(dims + 2)])
+    sums: dict[int, list[tuple]] = {}
+    for r in whole.collect():
+        place = chosen[r["cluster"]][r["i"]]
+        pull = np.array([r[f"s{j}"] for j in range(2, dims + 2)])
+        fall = place + pull / r["s1"] if r["s1"] > 0 else place
+        sums.setdefault(r["cluster"], []).append((place, r["s0"], -pull, fall))
+    return sums
+
+
+def _not_out(left: DataFrame, known: dict, columns: list[str]) -> DataFrame:
+    """The candidates not summed up yet whose bound, raised by what is ``known``, reaches the best sum."""
+
+    def run(batches):
+        for batch in batches:
+            low = batch.column("_low").to_numpy().copy()
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            for k, at, own in _points(batch, columns, known):
+                places, sums, slopes, n, best = known[k]
+                bound, new = low[at], np.ones(len(at), dtype=bool)
+                for c, s, g in zip(places, sums, slopes):
+                    off = own - c
+                    apart = np.sqrt((off**2).sum(axis=1))
+                    bound = np.maximum(bound, np.maximum(s + off @ g, np.abs(s - n * apart)))
+                    new &= apart > 0
+                low[at] = bound
+                keep[at] = new & (bound <= best)
+            kept = [batch.column(c) for c in ("cluster", *columns)]
+            whole = pa.RecordBatch.from_arrays([*kept, pa.array(low)], names=["cluster", *columns, "_low"])
+            yield whole.filter(pa.array(keep))
+
+    return left.mapInArrow(run, left.schema)
 
 
 def _nearest_members(rows, targets, columns, clusters=None) -> list[tuple[float, ...]]:

@@ -34,3 +34,14 @@ def test_euclidean_fit_settles(spark):
     assert got == sorted(plain(points[40 * i : 40 * i + 40]) for i in range(3))
     with pytest.raises(ValueError):
         cluster.fit_medoids(frame, 3, columns=["x", "y"], cost="cubic")
+
+
+def test_few_rounds_find_the_medoid_of_many_members(spark, monkeypatch):
+    """Slopes leave few candidates after a round, however many members there are; bounds by distance alone took 16 rounds."""
+    rng = random.Random(4)
+    points = [(float(rng.randint(1, 50)), rng.randint(90000, 210000) / 5000) for _ in range(1500)]
+    frame = spark.createDataFrame([(0, *p) for p in points for _ in range(2)], "cluster INT, x DOUBLE, y DOUBLE")
+    tables = []
+    monkeypatch.setattr(cluster, "settle", lambda df, label, kept=cluster.settle: tables.append(label) or kept(df, label))
+    assert cluster.exact_medoids(frame, ["x", "y"], 16) == {0: plain(points)}
+    assert tables.count("medoid-candidates") <= 4
