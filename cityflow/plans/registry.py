@@ -870,9 +870,14 @@ def distinct_urls(spark, sf_dir):
 
 @query(f"{RELATIONS} SELECT value1, value2, confidence, sent_id FROM rel")
 def sentences_xml_scan(spark, sf_dir):
-    """Annotated sentences written as XML and scanned back, each file by as many tasks as it has splits."""
+    """Annotated sentences written as compressed XML and scanned back, a file after so many sentences.
+
+    As plain text the XML is forty times the size of the table. A compressed file
+    has one split, so the number of files follows the number of sentences.
+    """
     out = run_dir(spark, "sentences")
-    _sentences(spark, sf_dir).select(feeds.sentence_xml().alias("value")).write.text(out)
+    xml = _sentences(spark, sf_dir).select(feeds.sentence_xml().alias("value"))
+    xml.write.option("maxRecordsPerFile", 100_000).text(out, compression="gzip")
     kind = relations.KINDS["OrgBased_In"]
     found = relations.extract_relations(read_sentences(spark, out), kind)
     return _flat(found).select("value1", "value2", "confidence", "sent_id")

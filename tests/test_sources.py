@@ -335,3 +335,23 @@ def test_pages_in_order_of_time(spark, tmp_path):
     assert [r.url[-5:] for r in by_time] == ["c.xml", "a.xml", "b.xml"]
     by_path = annotations.page_positions(spark, str(tmp_path)).orderBy("page_order").collect()
     assert [(r.url[-5:], r.page_order) for r in by_path] == [("a.xml", 0), ("b.xml", 1), ("c.xml", 2)]
+
+
+def test_scanned_xml_is_written_compressed_in_several_files(spark, tmp_path):
+    from pathlib import Path
+
+    from cityflow.plans.registry import sentences_xml_scan
+    from cityflow.session import shared_dir
+
+    lines = spark.range(150_000).coalesce(1).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 700).alias("l_partkey"), (F.col("id") % 30).alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), F.lit(0.5).alias("l_discount"),
+        F.when(F.col("id") % 3 == 0, "A").otherwise("N").alias("l_returnflag"),
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    before = set(Path(shared_dir(spark)).glob("cityflow/sentences-*"))
+    found = sentences_xml_scan(spark, str(tmp_path))
+    (folder,) = set(Path(shared_dir(spark)).glob("cityflow/sentences-*")) - before
+    files = [f for f in folder.iterdir() if f.name.startswith("part-")]
+    assert len(files) == 2 and sum(f.stat().st_size for f in files) < 150_000 * 100
+    assert found.count() == 100_000
