@@ -2,9 +2,12 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import pytest
 
 from cityflow.llm import divergence
@@ -91,3 +94,36 @@ def test_pointer_order(seed):
     assert order.tolist() == sorted(range(len(terms)), key=lambda k: (terms[k].encode(), k))
     runs = {terms[k]: r for k, r in zip(order.tolist(), run.tolist())}
     assert [runs[terms[k]] for k in order.tolist()] == run.tolist() and len(set(run.tolist())) == len(set(terms))
+
+
+def test_a_task_holds_little_memory(spark):
+    """32 MB of text pass through a task that never holds arrays of more than 160 MB."""
+    held = {}
+
+    class Docs:
+        """Takes the function that a task runs."""
+
+        def select(self, *columns):
+            return self
+
+        groupBy = agg = select
+
+        def mapInArrow(self, run, schema):
+            held["run"] = run
+            return self
+
+    divergence.term_counts(Docs())
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefgh", k=rng.randint(2, 9))) for _ in range(20_000)]
+    text = " ".join(rng.choices(words, k=150_000))
+    batch = pa.RecordBatch.from_pydict({"text": [text] * (32_000_000 // len(text)), "lang": ["a"] * (32_000_000 // len(text)),
+                                        "source": ["s"] * (32_000_000 // len(text))})
+    del words
+    tracemalloc.start()
+    try:
+        n = sum(pyarrow.compute.sum(out.column(3)).as_py() for out in held["run"](iter([batch])))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 150_000 * batch.num_rows
+    assert peak < 160 << 20, peak
