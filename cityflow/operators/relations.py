@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 from itertools import starmap
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,9 +47,13 @@ KINDS = {
 }
 
 
+def _spellings(wanted: str) -> list[str]:
+    return [wanted, *[alias for alias, target in TYPE_ALIASES.items() if target == wanted]]
+
+
 def is_type(name: Column, wanted: str) -> Column:
     """Whether a tag names the wanted type, under either tagger's spelling."""
-    spellings = [wanted, *[alias for alias, target in TYPE_ALIASES.items() if target == wanted]]
+    spellings = _spellings(wanted)
     return name.isin(spellings) if len(spellings) > 1 else name == spellings[0]
 
 
@@ -69,14 +73,10 @@ def sentence_text(tokens: Column | str = "tokens") -> Column:
 def candidate_sentences(sentences: DataFrame, kind: RelationKind) -> DataFrame:
     """Sentences holding the entities the relation needs."""
 
-
     def enough(name: str, least: int) -> Column:
-        def named(token: Column) -> Column:
-            return is_type(token["ner"], name)
-
         if least == 1:
-            return F.exists("tokens", named)
-        return F.size(F.filter("tokens", named)) >= least
+            return reduce(or_, [F.array_contains("tokens.ner", tag) for tag in _spellings(name)])
+        return F.size(F.filter("tokens", lambda token: is_type(token["ner"], name))) >= least
 
     return sentences.filter(reduce(and_, starmap(enough, kind.needs.items())))
 

@@ -4,8 +4,8 @@ Each round searches a page corpus for the query, extracts relations from the
 annotated sentences of the pages found, and takes the best unused pair as the
 next query. Pages and sentences are gone through once: an inverted table of words
 and the sentences are laid out in folders by a hash of the word and of the page's
-address, sorted within, so that a round reads the few folders and row groups its
-words and pages lie in. The driver loop holds a query string and counts (and, for
+address, with Bloom filters within, so that a round reads the few folders and row
+groups its words and pages lie in. The driver loop holds a query string and counts (and, for
 a bounded number of hits, their addresses); pages, sentences and relations stay in
 Spark. A round's pages and relations go to tables in the shared folder, so lineage
 never grows and a lost executor costs one round's work at most.
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import chain
@@ -22,14 +23,16 @@ from operator import or_
 
 import xxhash
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cityflow.operators import relations as rel
 from cityflow.operators.slices import lay_out
 from cityflow.session import run_dir
 from cityflow.sources.sinks import tap
 
+WORD = r"[\p{L}\p{N}#]+"
 WORD_BREAK = r"[^\p{L}\p{N}#]+"
 
 
@@ -117,33 +120,58 @@ def _folder(text: str, buckets: int) -> int:
     return (value - (1 << 64) if value >> 63 else value) % buckets
 
 
+LISTS = ("tokens", "entities", "relations")
+
+
+@contextmanager
+def _open_files(spark: SparkSession, most: int):
+    """Tasks keep ``most`` folders' files open at once; only rows of more folders are sorted."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def build_index(
     pages: DataFrame, sentences: DataFrame, kind: rel.RelationKind | None = None, buckets: int = 32
 ) -> Index:
     """Lay out ``pages(url, text)`` by word and ``sentences`` by page in the shared folder.
 
-    One pass over each. With ``kind`` only the sentences that can hold such a
-    relation are kept. A word of very many pages fills one folder, whose rows the
-    rebalancing shuffle deals to as many tasks and files as their size needs;
-    ``buckets`` should grow with the corpus.
+    One pass over each, without a shuffle or a sort: every task deals its rows to
+    the folders as it reads them, so a word of very many pages is written by as
+    many tasks as read those pages. Bloom filters of the words and addresses tell
+    a round which row groups of a folder to read. The lists of a sentence are laid
+    down as one JSON text, read back for the sentences a round takes. With ``kind``
+    only the sentences that can hold such a relation are kept. ``buckets`` should
+    grow with the corpus.
     """
     spark = pages.sparkSession
     folder = run_dir(spark, "page-index")
     kept = sentences if kind is None else rel.candidate_sentences(sentences, kind)
-    split = F.array_distinct(F.split(F.lower("text"), WORD_BREAK))
-    words = pages.select("url", F.explode(split).alias("word")).where("word <> ''")
+    lists = StructType([f for f in kept.schema if f.name in LISTS])
+    packed = kept.withColumn("lists", F.to_json(F.struct(*lists.names))).drop(*lists.names)
+    split = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0)))
+    words = pages.select("url", F.explode(split).alias("word"))
 
-    def lay(df: DataFrame, key: str, name: str) -> DataFrame:
+    def lay(df: DataFrame, key: str, name: str, distinct: int) -> DataFrame:
         keyed = df.withColumn("bucket", _bucket(F.col(key), buckets))
-        keyed.hint("rebalance", "bucket").sortWithinPartitions("bucket", key, "url").write.option(
-            "parquet.block.size", 4 << 20
+        bloom = {f"enabled#{key}": "true", f"expected.ndv#{key}": str(distinct)}
+        keyed.write.options(
+            **{"parquet.block.size": str(4 << 20), "parquet.enable.dictionary": "false"},
+            **{f"parquet.bloom.filter.{k}": v for k, v in bloom.items()},
         ).partitionBy("bucket").parquet(f"{folder}/{name}")
         return spark.read.schema(keyed.schema).parquet(f"{folder}/{name}")
 
     # two jobs that share nothing but the cores
-    with ThreadPoolExecutor(2) as both:
-        laid = both.map(inheritable_thread_target(spark)(lambda job: lay(*job)), [(words, "word", "words"), (kept, "url", "sentences")])
-        return Index(*laid, buckets)
+    with _open_files(spark, min(buckets, 64)), ThreadPoolExecutor(2) as both:
+        jobs = [(words, "word", "words", 100_000), (packed, "url", "sentences", 20_000)]
+        found, laid = both.map(inheritable_thread_target(spark)(lambda job: lay(*job)), jobs)
+    unpacked = laid.withColumn("lists", F.from_json("lists", lists))
+    rows = [F.col(f"lists.{c}") if c in lists.names else F.col(c) for c in kept.columns]
+    return Index(found, unpacked.select(*rows, "bucket"), buckets)
 
 
 def expand(

@@ -251,6 +251,36 @@ def test_rounds_read_folders_not_the_corpus(spark, corpus):
     assert {r.url for r in index.of_addresses({"u1": 3, "u3": 4}).collect()} == {"u1", "u3"}
 
 
+def test_the_index_is_laid_out_without_a_shuffle(spark, corpus):
+    spark.sparkContext.setJobGroup("lay out", "two jobs")
+    try:
+        build_index(*corpus, rel.KINDS["Live_In"], buckets=5)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [len(tracker.getJobInfo(job).stageIds) for job in tracker.getJobIdsForGroup("lay out")]
+    assert stages == [1, 1]
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+
+
+def test_the_index_gives_sentences_back_as_they_were(spark):
+    odd = sentence("u", 2, [('"Ann"\\ \n', "PERSON"), (None, None), ("Zürich 😀", "LOCATION")], [("e1", "PEOPLE", None)],
+                   [("Live_In", [("e1", None)], [("Live_In", float("nan")), ("x", 0.1 + 0.2), (None, None)]), ("Live_In", None, [])])
+    sentences = frame(spark, odd, sentence("u", 3, [], None, [None]), ("v", 0, 4, None, [], []), sentence(None, 5, [], [], []))
+    pages = spark.createDataFrame([("u", "Ann")], "url STRING, text STRING")
+    index = build_index(pages, sentences, buckets=3)
+    assert index.of_addresses({"u": 7, "v": 8}).schema.simpleString() == sentences.schema.simpleString()
+    kept = [c for c in sentences.columns if c != "page_order"]
+    got, want = index.of_addresses({"u": 7, "v": 8}), sentences.where("url IS NOT NULL")
+    assert repr(rows(got, *kept)) == repr(rows(want, *kept))  # NaN included
+
+
+def test_the_keep_rule_is_compiled(spark):
+    """A list function with a lambda would keep the rule, and all before it, out of generated code."""
+    kept = rel.candidate_sentences(frame(spark, ANN), rel.KINDS["Work_For"])
+    assert "lambda" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_any_number_of_hits_is_joined_as_a_table(corpus):
     kind = rel.KINDS["Live_In"]
     bounded = expand(*corpus, "Ann Paris", kind, threshold=0.5, k=4)
