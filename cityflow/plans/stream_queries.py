@@ -91,7 +91,9 @@ def early_results_stream(spark, sf_dir):
             F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.max("value").alias("most")
         )
         upserts = upserts or writers.Upserts(spark, stats.schema, ["window", "channel"])
-        writers.early_results(stats, upserts, checkpoint=checkpoint, trigger={"availableNow": True}).awaitTermination()
+        with writers.state_parts(spark):
+            run = writers.early_results(stats, upserts, checkpoint=checkpoint, trigger={"availableNow": True})
+        run.awaitTermination()
     return window_start_ntz(rounded(upserts.current(), "mean"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -96,14 +97,34 @@ class Drained:
     late_rows: int
 
 
+@contextmanager
+def state_parts(spark: SparkSession, partitions: int | None = None):
+    """Queries started inside keep their state in ``partitions`` parts, or in two per core.
+
+    Each part is opened and committed in every batch, with or without rows, so parts
+    beyond what the cores take on are time alone. A session whose shuffles have fewer
+    keeps its number. A query takes the settings when it starts.
+    """
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(partitions or min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def drain_deliveries(
     spark: SparkSession,
     deliver: Sequence[Callable[[], None]],
     stream: Callable[[], DataFrame],
     label: str,
+    partitions: int | None = None,
 ) -> Drained:
     """Run a query once per delivery, each time from where it stopped before.
 
+    State is kept in ``partitions`` parts, as told by :func:`state_parts`.
+
     ``deliver`` lands one delivery each; ``stream`` builds the query over the
     landing place. State, watermark and progress come back from the checkpoint in
     the shared folder. Spark's progress reports tell how many rows a stateful
@@ -117,7 +138,8 @@ def drain_deliveries(
         land()
         df = stream()
         schema = df.schema
-        query = publish(df, "parquet", f"{out}/checkpoint", {"availableNow": True}, path=f"{out}/rows")
+        with state_parts(spark, partitions):
+            query = publish(df, "parquet", f"{out}/checkpoint", {"availableNow": True}, path=f"{out}/rows")
         query.awaitTermination()
         for progress in query.recentProgress:
             batches += progress["numInputRows"] > 0

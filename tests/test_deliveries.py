@@ -1,11 +1,13 @@
 """Streams that arrive in several parts: restarts, late rows, upserts, replays."""
 
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from cityflow.operators import enrich
+from cityflow.session import shared_dir
 from cityflow.sources.messages import drop_repeats
 from cityflow.streaming import writers
 from frames import rows
@@ -34,6 +36,21 @@ def test_late_rows_are_counted(spark, tmp_path):
     assert done.late_rows == 2 and done.batches == 3
 
 
+def test_state_has_parts_for_the_cores(spark, tmp_path):
+    land, stream = landing(spark, str(tmp_path / "in"), [[(1, at(0))], [(2, at(30)), (1, at(30))]])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    try:
+        done = writers.drain_deliveries(
+            spark, land, lambda: drop_repeats(stream().withWatermark("ts", "10 minutes"), ["id"]), "parts")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "30"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(r.id for r in done.rows.collect()) == [1, 2]
+    (state,) = Path(shared_dir(spark)).glob("cityflow/parts-*/checkpoint/state/0")
+    assert len([p for p in state.iterdir() if p.name.isdigit()]) == 8  # local[4]
+
+
 def test_upserts_keep_the_newest_row_and_a_replay_changes_nothing(spark):
     table = writers.Upserts(spark, spark.createDataFrame([], "k STRING, n LONG").schema, ["k"])
     assert table.current().count() == 0
