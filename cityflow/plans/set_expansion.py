@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 from itertools import chain
@@ -23,7 +22,7 @@ from operator import or_
 
 import xxhash
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -123,26 +122,14 @@ def _folder(text: str, buckets: int) -> int:
 LISTS = ("tokens", "entities", "relations")
 
 
-@contextmanager
-def _open_files(spark: SparkSession, most: int):
-    """Tasks keep ``most`` folders' files open at once; only rows of more folders are sorted."""
-    name = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(most))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def build_index(
     pages: DataFrame, sentences: DataFrame, kind: rel.RelationKind | None = None, buckets: int = 32
 ) -> Index:
     """Lay out ``pages(url, text)`` by word and ``sentences`` by page in the shared folder.
 
-    One pass over each, without a shuffle or a sort: every task deals its rows to
-    the folders as it reads them, so a word of very many pages is written by as
-    many tasks as read those pages. Bloom filters of the words and addresses tell
+    One pass over each, without a shuffle: every task sorts its rows by the folder's
+    number alone and writes them there, so a word of very many pages is written by
+    as many tasks as read those pages. Bloom filters of the words and addresses tell
     a round which row groups of a folder to read. The lists of a sentence are laid
     down as one JSON text, read back for the sentences a round takes. With ``kind``
     only the sentences that can hold such a relation are kept. ``buckets`` should
@@ -166,7 +153,7 @@ def build_index(
         return spark.read.schema(keyed.schema).parquet(f"{folder}/{name}")
 
     # two jobs that share nothing but the cores
-    with _open_files(spark, min(buckets, 64)), ThreadPoolExecutor(2) as both:
+    with ThreadPoolExecutor(2) as both:
         jobs = [(words, "word", "words", 100_000), (packed, "url", "sentences", 20_000)]
         found, laid = both.map(inheritable_thread_target(spark)(lambda job: lay(*job)), jobs)
     unpacked = laid.withColumn("lists", F.from_json("lists", lists))
