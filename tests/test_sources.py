@@ -355,3 +355,84 @@ def test_scanned_xml_is_written_compressed_in_several_files(spark, tmp_path):
     files = [f for f in folder.iterdir() if f.name.startswith("part-")]
     assert len(files) == 2 and sum(f.stat().st_size for f in files) < 150_000 * 100
     assert found.count() == 100_000
+
+
+def spelled(number="1", word="Bill", more="", mention="ORGANIZATION", end="1", value="0.25", gap="", middle=""):
+    """A sentence with one relation; the arguments are written into it as they are."""
+    return (
+        f'<sentence id="{number}">{gap}<tokens>{gap}<token id="1">{gap}<word>{word}</word>{gap}{more}<NER>O</NER>{gap}</token>'
+        f'{gap}<token id="2"><word>x</word><NER>LOCATION</NER></token></tokens>{gap}{middle}<MachineReading>{gap}'
+        f'<entities>{gap}<entity id="E1">{gap}{mention}{gap}<span start="0" end="{end}"/>{gap}<probabilities/>{gap}</entity>'
+        f'</entities>{gap}<relations>{gap}<relation id="R1">{gap}OrgBased_In{gap}<arguments>{gap}'
+        f'<entity id="E1">{gap}{mention}{gap}<span start="0" end="1"/></entity>{gap}<entity id="E2">LOCATION</entity>'
+        f"{gap}</arguments>{gap}<probabilities>{gap}<probability><label>OrgBased_In</label>{gap}<value>{value}</value>"
+        f"</probability>{gap}</probabilities>{gap}</relation>{gap}<relation id=\"R2\">Work_For<arguments>"
+        f'<entity id="E2">LOCATION</entity></arguments><probabilities><probability><label>_NR</label><value>1</value>'
+        f"</probability></probabilities></relation></relations></MachineReading>{gap}</sentence>"
+    )
+
+
+def as_parsed(spark, path):
+    """The sentences below ``path``, each by the XML parser."""
+    from cityflow import schemas
+
+    read = F.from_xml("record", f"{schemas.SENTENCE_XML}, _corrupt_record STRING", {"columnNameOfCorruptRecord": "_corrupt_record"})
+    parsed = annotations.sentence_records(spark, path).select("url", read.alias("s")).where("s._corrupt_record IS NULL")
+    return annotations.from_xml_rows(parsed.select("url", "s.*"))
+
+
+def test_plain_sentences_are_read_as_the_parser_reads_them(spark, tmp_path):
+    plain = [
+        spelled(), spelled(gap="\n   "), spelled(gap="\r\n\t"), spelled(word='größe "x" & y'.replace("&", "'")),
+        spelled(more="<lemma>bill</lemma><POS>NNP</POS><Speaker></Speaker>"), spelled(value="1.0E-4"), spelled(value="none"),
+        spelled(mention="two words", end="2"), spelled(word="two\nlines"), spelled(word="\U0001F600"),
+        spelled(middle='<parse>(ROOT (S x)) </parse><dependencies type="basic"><dep type="root">'
+                       '<governor idx="0">ROOT</governor><dependent idx="1">x</dependent></dep></dependencies>'),
+        spelled().replace("<entities>", "<entities/><!").split("<!")[0] + "<relations/></MachineReading></sentence>",
+    ]
+    others = [
+        spelled(word="a&amp;b"), spelled(word="&#65;"), spelled(word="<![CDATA[a<b]]>"), spelled(word="a<!-- c -->b"),
+        spelled(word=" padded "), spelled(word=""), spelled(number="+7"), spelled(number=" 7 "), spelled(end=" 1"),
+        spelled(mention="ORG<b>x</b>"), spelled(more="<word>again</word>"), spelled(more="<WORD>again</WORD>"),
+        spelled().replace('"', "'"), spelled().replace("<NER>O</NER>", ""), spelled().replace("tokens>", "Tokens>"),
+        spelled().replace("<probabilities><probability><label>_NR</label><value>1</value></probability></probabilities>", ""),
+        spelled().replace('<token id="1">', '<token x="y" id="1">'), '<sentence id="9"><tokens/></sentence>',
+        spelled(word="\x01"), "\x01a\x01b\x01c\x01d" + spelled(), spelled(word="]]>"), spelled(number="x"),
+        spelled(more="<POS>NN</pos>"), spelled(end='1" end="2'),
+    ]
+    for name, records in (("plain", plain), ("others", others)):
+        (tmp_path / f"{name}.xml").write_text("\n".join(records), newline="")
+    by_parser = annotations._parsed(spark, str(tmp_path)).where("full IS NOT NULL")
+    assert rows(by_parser.select("url").distinct())[0][0].endswith("others.xml")
+    assert by_parser.where("url LIKE '%others.xml'").count() == len(others)
+    expected = as_parsed(spark, str(tmp_path))
+    got = annotations.read_sentences(spark, str(tmp_path), None)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, expected.collect()))
+    faults = annotations.sentence_faults(spark, str(tmp_path)).collect()
+    assert len(faults) + got.count() == len(plain) + len(others) and len(faults) >= 5
+
+
+def test_a_long_plain_sentence_is_matched_without_recursion(spark, tmp_path):
+    more = "".join(f"<a{i}>b</a{i}>" for i in range(20_000))
+    token = '<token id="3"><word>y</word><NER>O</NER></token>'
+    record = spelled(more=more).replace("</tokens>", token * 20_000 + "</tokens>")
+    (tmp_path / "long.xml").write_text(record)
+    assert annotations._parsed(spark, str(tmp_path)).where("full IS NULL").count() == 1
+    found = annotations.read_sentences(spark, str(tmp_path), None).first()
+    assert len(found.tokens) == 20_002 and found.tokens[-1].word == "y" and len(found.relations) == 2
+
+
+def test_written_sentences_do_not_need_the_parser(spark, tmp_path):
+    from cityflow.plans import feeds
+
+    lines = spark.range(300).select(
+        F.col("id").alias("l_orderkey"), (F.col("id") % 7).alias("l_partkey"), (F.col("id") % 3).alias("l_suppkey"),
+        F.lit(1).alias("l_linenumber"), (F.col("id") / 700).alias("l_discount"),
+        F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("id") % 3 + 1).cast("int")).alias("l_returnflag"),
+    )
+    path = str(tmp_path / "xml")
+    feeds.annotated_sentences(lines).select(feeds.sentence_xml()).write.text(path, compression="gzip")
+    parsed = annotations._parsed(spark, path)
+    assert parsed.count() == 300 and parsed.where("full IS NOT NULL").count() == 0
+    got = annotations.read_sentences(spark, path, None)
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, as_parsed(spark, path).collect()))
