@@ -202,14 +202,11 @@ def plain_sentence(parts: str) -> dict[str, Column]:
         )
 
     def relation(text: Column) -> Column:
-        odds = together(label=every(text, "<label>([^<]*)"), value=every(text, "<value>([^<]*)"))
-        return F.struct(
-            F.regexp_extract(text, told, 1).alias("type"),
-            mentions(text).alias("args"),
-            F.transform(
-                odds, lambda p: F.struct(p["label"].alias("label"), p["value"].try_cast("double").alias("value"))
-            ).alias("probs"),
+        odds = together(
+            label=every(text, "<label>([^<]*)"), value=every(text, "<value>([^<]*)").try_cast("ARRAY<DOUBLE>")
         )
+        named = F.regexp_extract(text, told, 1)
+        return F.struct(named.alias("type"), mentions(text).alias("args"), odds.alias("probs"))
 
     ended = F.split(F.regexp_replace(relations, rf"</relation>{_S}", _PART), _PART)
     return {
@@ -218,7 +215,10 @@ def plain_sentence(parts: str) -> dict[str, Column]:
             id=every(tokens, '<token id="([^"]*)'), word=every(tokens, "<word>([^<]*)"), ner=every(tokens, "<NER>([^<]*)")
         ),
         "entities": mentions(entities, end=' end="([^"]*)'),
-        "relations": F.transform(F.slice(ended, F.lit(1), F.size(ended) - 1), relation),
+        # of one relation no list has to be made; it is read by compiled code
+        "relations": F.when(F.size(ended) == 2, F.array(relation(relations))).otherwise(
+            F.transform(F.slice(ended, F.lit(1), F.size(ended) - 1), relation)
+        ),
     }
 
 
