@@ -416,10 +416,15 @@ def test_a_long_plain_sentence_is_matched_without_recursion(spark, tmp_path):
     more = "".join(f"<a{i}>b</a{i}>" for i in range(20_000))
     token = '<token id="3"><word>y</word><NER>O</NER></token>'
     record = spelled(more=more).replace("</tokens>", token * 20_000 + "</tokens>")
+    for name, tag in (("entities", "entity"), ("relations", "relation"), ("probabilities", "probability")):
+        place = record.rindex(f"</{name}>")
+        one = record[record.rindex(f"<{tag}", 0, place):place]
+        record = record[:place] + one * 3_000 + record[place:]
     (tmp_path / "long.xml").write_text(record)
     assert annotations._parsed(spark, str(tmp_path)).where("full IS NULL").count() == 1
     found = annotations.read_sentences(spark, str(tmp_path), None).first()
-    assert len(found.tokens) == 20_002 and found.tokens[-1].word == "y" and len(found.relations) == 2
+    assert len(found.tokens) == 20_002 and found.tokens[-1].word == "y"
+    assert len(found.entities) == 3_001 and len(found.relations) == 3_002 and len(found.relations[-1].probs) == 3_001
 
 
 def test_written_sentences_do_not_need_the_parser(spark, tmp_path):
